@@ -43,10 +43,8 @@ def running(
     hot = largest_keys(rows.groupBy(*keys).agg(size.alias("n")), keys, hot_rows).select(*keys, F.lit(True).alias("hot"))
     second = F.floor(F.col(at) / SECOND).cast("long")
 
-    sliced = (
-        rows.join(F.broadcast(hot), list(keys), "left")
-        .withColumn("slice", F.when(F.col("hot"), second).otherwise(F.lit(-1).cast("long")))
-        .drop("hot")
+    sliced = rows.join(F.broadcast(hot), list(keys), "left").select(
+        *rows.columns, F.when(F.col("hot"), second).otherwise(F.lit(-1).cast("long")).alias("slice")
     )
     within = Window.partitionBy(*keys, "slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     folded = sliced.select("*", *[fold(F.col(v)).over(within).alias(f"here_{v}") for v in values])

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.context import Ctx
-from eventloom.functions.numbers import ratio
+from eventloom.functions.numbers import count_where, ratio
 from eventloom.functions.params import int_param, string_param
 from eventloom.functions.skew import HOT_ROWS, SECOND, running
 from eventloom.functions.tables import literal_table
@@ -36,9 +36,9 @@ def interval_counts(
         events.filter(F.col(USER).isNotNull())
         .groupBy(USER, "event_timestamp")
         .agg(
-            F.count_if(anchor).alias("anchors"),
-            F.count_if(follow).alias("follows"),
-            F.count_if(follow & flag).alias("flagged"),
+            count_where(anchor).alias("anchors"),
+            count_where(follow).alias("follows"),
+            count_where(follow & flag).alias("flagged"),
         )
     )
     t = F.col("event_timestamp")
@@ -233,7 +233,7 @@ def template_funnel(ctx: Ctx, days: int = 7, hot_rows: int = HOT_ROWS) -> DataFr
     )
     saves = template_attribution(ctx, days, hot_rows).groupBy("template_id").agg(F.count(F.lit(1)).alias("saves"))
     overall = events.agg(
-        F.struct(F.count_if(name == roles.exposure).alias("exposures"), F.count_if(name == roles.save).alias("saves"))
+        F.struct(count_where(name == roles.exposure).alias("exposures"), count_where(name == roles.save).alias("saves"))
     )
     return (
         clicks.join(saves, "template_id", "left")

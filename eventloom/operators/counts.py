@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.context import Ctx, Period
-from eventloom.functions.numbers import ratio
+from eventloom.functions.numbers import count_where, ratio
 from eventloom.functions.params import string_param
 from eventloom.operators.segments import (
     USER,
@@ -170,7 +170,7 @@ def tts_source_share(ctx: Ctx) -> DataFrame:
     one_row = events.agg(*[
         agg
         for name, inside in within.items()
-        for agg in (F.count_if(inside).alias(f"{name}_all"), F.count_if(inside & from_feature).alias(f"{name}_own"))
+        for agg in (count_where(inside).alias(f"{name}_all"), count_where(inside & from_feature).alias(f"{name}_own"))
     ])
     per_period = F.array(*[
         F.struct(F.lit(n).alias("period"), F.col(f"{n}_own").alias("tts_from_feature"), F.col(f"{n}_all").alias("tts_total"))

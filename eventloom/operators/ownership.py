@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.context import Ctx
-from eventloom.functions.numbers import ratio
+from eventloom.functions.numbers import count_where, ratio
 from eventloom.functions.params import string_param
 from eventloom.operators.segments import USER
 from eventloom.sources.events import day_text
@@ -27,7 +27,7 @@ def _snapshots(ctx: Ctx, cutoffs: Mapping[str, date], active_days: int) -> DataF
         .filter(F.col("event_name") == ctx.roles.save)
         .select(USER, "event_date", string_param(VOICE_ID).alias("voice_id"))
         .groupBy(USER, "voice_id")
-        .agg(*[F.count_if(F.col("event_date") < day_text(day)).alias(name) for name, day in cutoffs.items()])
+        .agg(*[count_where(F.col("event_date") < day_text(day)).alias(name) for name, day in cutoffs.items()])
     )
     voices = F.col("voice_id").isNull()
     owners = saved.groupBy(USER).agg(*[
@@ -37,7 +37,7 @@ def _snapshots(ctx: Ctx, cutoffs: Mapping[str, date], active_days: int) -> DataF
         agg
         for c in cutoffs
         for agg in (
-            F.count_if(F.col(c) > 0).alias(f"{c}_users"),
+            count_where(F.col(c) > 0).alias(f"{c}_users"),
             F.avg(F.when(F.col(c) > 0, F.col(c))).alias(f"{c}_avg"),
             F.coalesce(F.sum(c), F.lit(0)).alias(f"{c}_total"),
         )

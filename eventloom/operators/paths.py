@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventloom.context import Ctx
-from eventloom.functions.numbers import percent
+from eventloom.functions.numbers import count_where, percent
 from eventloom.functions.skew import HOT_ROWS, SECOND, largest_keys
 from eventloom.functions.tables import literal_table
 from eventloom.operators.segments import USER
@@ -29,7 +29,7 @@ def _first_exposures(ctx: Ctx, events: DataFrame) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.min(F.when(name == ctx.roles.exposure, F.col("event_timestamp"))).alias("exposure_ts"),
-            F.count_if(name == ctx.roles.generate).alias("generates"),
+            count_where(name == ctx.roles.generate).alias("generates"),
         )
         # A missing user id matches no generating user.
         .filter(F.col("exposure_ts").isNotNull() & ((F.col("generates") == 0) | F.col(USER).isNull()))
@@ -54,14 +54,14 @@ def exposure_totals(ctx: Ctx, days: int = 14) -> DataFrame:
         .filter(name.isin(ctx.roles.exposure, ctx.roles.generate))
         .groupBy(USER)
         .agg(
-            F.count_if(name == ctx.roles.exposure).alias("exposures"),
-            F.count_if(name == ctx.roles.generate).alias("generates"),
+            count_where(name == ctx.roles.exposure).alias("exposures"),
+            count_where(name == ctx.roles.generate).alias("generates"),
         )
         .filter(F.col(USER).isNotNull())
     )
     totals = per_user.agg(
-        F.count_if(F.col("exposures") > 0).alias("total_exposed"),
-        F.count_if(F.col("generates") > 0).alias("total_generated"),
+        count_where(F.col("exposures") > 0).alias("total_exposed"),
+        count_where(F.col("generates") > 0).alias("total_generated"),
     )
     return totals.withColumn("non_generated", F.col("total_exposed") - F.col("total_generated"))
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventloom.context import Ctx, Period
-from eventloom.functions.numbers import exact_sum, ratio
+from eventloom.functions.numbers import count_where, exact_sum, ratio
 from eventloom.functions.params import int_param, number_param, string_param
 from eventloom.operators.segments import USER, Measure, Section, run_section
 from eventloom.sources.events import between_days, unified
@@ -94,7 +94,7 @@ def flag_ratio_daily(ctx: Ctx, event: str, flag: Column, days: int = 14) -> Data
         unified(ctx.daily, ctx.intraday, ctx.ago(days), ctx.as_of)
         .filter(F.col("event_name") == event)
         .groupBy("event_date")
-        .agg(F.count(F.lit(1)).alias("total"), F.count_if(flag).alias("hits"))
+        .agg(F.count(F.lit(1)).alias("total"), count_where(flag).alias("hits"))
         .withColumn("hit_ratio", ratio(F.col("hits"), F.col("total")))
         .orderBy("event_date")
     )
@@ -115,10 +115,10 @@ def _rating_profile(ctx: Ctx, days: int) -> DataFrame:
         .filter(name.isin(roles.generate, roles.save, roles.rate))
         .groupBy(USER)
         .agg(
-            F.count_if(name == roles.generate).alias("generates"),
-            F.count_if(name == roles.save).alias("saves"),
-            F.count_if(rated & (action == LIKE)).alias("likes"),
-            F.count_if(rated & action.isin(LIKE, DISLIKE)).alias("ratings"),
+            count_where(name == roles.generate).alias("generates"),
+            count_where(name == roles.save).alias("saves"),
+            count_where(rated & (action == LIKE)).alias("likes"),
+            count_where(rated & action.isin(LIKE, DISLIKE)).alias("ratings"),
         )
         .filter(F.col("generates") > 0)
     )
@@ -133,7 +133,7 @@ def rater_comparison(ctx: Ctx, days: int = 14, voices: int = VOICES_PER_GENERATE
         "avg_generate_sessions": F.col("generates"),
     }
     one_row = _rating_profile(ctx, days).agg(
-        F.count_if(rates).alias("raters"),
+        count_where(rates).alias("raters"),
         F.count(F.lit(1)).alias("everyone"),
         *[F.avg(F.when(rates, v)).alias(f"raters_{k}") for k, v in metrics.items()],
         *[F.avg(v).alias(f"everyone_{k}") for k, v in metrics.items()],

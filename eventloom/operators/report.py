@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.context import Ctx
-from eventloom.functions.numbers import change_text, grouped_text, percent_text
+from eventloom.functions.numbers import change_text, count_where, grouped_text, percent_text
 from eventloom.operators.segments import USER
 from eventloom.sources.events import between_days, day_text
 
@@ -39,7 +39,7 @@ def daily_funnel(ctx: Ctx, day: date) -> DataFrame:
     return (
         ctx.intraday.scan(day, day + timedelta(days=1))
         .filter(_wanted(ctx))
-        .agg(*[F.count_if(F.col("event_name").isin(*events)).alias(s) for s, events in funnel_steps(ctx).items()])
+        .agg(*[count_where(F.col("event_name").isin(*events)).alias(s) for s, events in funnel_steps(ctx).items()])
         .select(F.lit(day_text(day)).alias("event_date"), "*")
     )
 
@@ -55,9 +55,9 @@ def _report_counts(ctx: Ctx, days: dict[str, date], history_days: int) -> DataFr
         .filter(_wanted(ctx))
         .groupBy(USER)
         .agg(
-            F.count_if(F.col("event_name") == ctx.roles.generate).alias("generates"),
+            count_where(F.col("event_name") == ctx.roles.generate).alias("generates"),
             *[
-                F.count_if(F.col("event_name").isin(*events) & _on(day)).alias(f"{name}_{step}")
+                count_where(F.col("event_name").isin(*events) & _on(day)).alias(f"{name}_{step}")
                 for name, day in days.items()
                 for step, events in steps.items()
             ],

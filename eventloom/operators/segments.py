@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.context import SEGMENTS, Ctx, Period, TierRule
+from eventloom.functions.numbers import count_where
 from eventloom.sources.events import between_days
 
 USER = "user_pseudo_id"
@@ -70,18 +71,18 @@ class Counted:
     def users(self, m: Measure) -> str:
         """Distinct non-null users."""
         mine = self.per_user(m)
-        return self._total(f"{mine}_users", F.count_if(F.col(USER).isNotNull() & (F.col(mine) > 0)))
+        return self._total(f"{mine}_users", count_where(F.col(USER).isNotNull() & (F.col(mine) > 0)))
 
     def members(self, m: Measure) -> str:
         """Size of the set of users, in which a missing user id is one member."""
         mine = self.per_user(m)
-        return self._total(f"{mine}_members", F.count_if(F.col(mine) > 0))
+        return self._total(f"{mine}_members", count_where(F.col(mine) > 0))
 
     def shared(self, *ms: Measure) -> str:
         """Users with every one of the measures."""
         mine = [self.per_user(m) for m in ms]
         every = reduce(and_, [F.col(c) > 0 for c in mine], F.col(USER).isNotNull())
-        return self._total("_".join(mine) + "_shared", F.count_if(every))
+        return self._total("_".join(mine) + "_shared", count_where(every))
 
 
 @dataclass(frozen=True, eq=False)
@@ -124,7 +125,7 @@ def user_profile(ctx: Ctx, counted: Counted | None = None, tiers: bool = True) -
     names = {n for m in measures for n in m.names}
     starts = [m.period.lo for m in measures]
     ends = [m.period.hi for m in measures]
-    aggs = [F.count_if(m.condition()).alias(counted.per_user(m)) for m in measures]
+    aggs = [count_where(m.condition()).alias(counted.per_user(m)) for m in measures]
     if tiers:
         window = Period("tiers", ctx.ago(rule.days), ctx.as_of)
         names |= {roles.exposure, roles.generate}
@@ -133,8 +134,8 @@ def user_profile(ctx: Ctx, counted: Counted | None = None, tiers: bool = True) -
         generated = Measure(window, (roles.generate,)).condition()
         masks = active_day_masks(rule, ctx.as_of, generated)
         aggs += [
-            F.count_if(Measure(window, (roles.exposure,)).condition()).alias("exposures"),
-            F.count_if(generated).alias("generates"),
+            count_where(Measure(window, (roles.exposure,)).condition()).alias("exposures"),
+            count_where(generated).alias("generates"),
             *[mask.alias(name) for name, mask in masks.items()],
         ]
     wanted = F.col("event_name").isin(*sorted(names))
@@ -144,7 +145,8 @@ def user_profile(ctx: Ctx, counted: Counted | None = None, tiers: bool = True) -
     profile = ctx.intraday.scan(min(starts), hi).filter(wanted).groupBy(USER).agg(*aggs)
     if not tiers:
         return profile
-    profile = profile.withColumn("active_days", days_in(masks)).drop(*masks)
+    kept = [c for c in profile.columns if c not in masks]
+    profile = profile.select(*kept, days_in(masks).alias("active_days"))
     # A missing id never equals itself, so such rows count as exposed but not as generating.
     avg = F.when(
         F.col(USER).isNotNull() & (F.col("generates") > 0),
@@ -185,19 +187,20 @@ def spread(totals: DataFrame, rows: list[dict[str, object]], section: Section, t
 
 
 def run_sections(
-    ctx: Ctx, sections: dict[str, Section], tiers: bool = True, share: bool = False
-) -> tuple[dict[str, DataFrame], DataFrame]:
-    """All sections from one scan and one shuffle by user, with the per-tier totals behind them.
-
-    `share` persists those totals (a handful of rows) for callers that run several sections.
+    ctx: Ctx,
+    sections: dict[str, Section],
+    tiers: bool = True,
+    keep: Callable[[DataFrame], DataFrame] = lambda df: df,
+) -> dict[str, DataFrame]:
+    """All sections from one scan and one shuffle by user.
+
+    `keep` stores the per-tier totals behind them (a handful of rows) when several sections are run.
     """
     counted = Counted()
     rows = {name: s.rows(counted) for name, s in sections.items()}
-    totals = tier_totals(ctx, counted, tiers)
-    if share:
-        totals = totals.persist()
-    return {name: spread(totals, rows[name], s, tiers) for name, s in sections.items()}, totals
+    totals = keep(tier_totals(ctx, counted, tiers))
+    return {name: spread(totals, rows[name], s, tiers) for name, s in sections.items()}
 
 
 def run_section(ctx: Ctx, section: Section, tiers: bool = True) -> DataFrame:
-    return run_sections(ctx, {"only": section}, tiers)[0]["only"]
+    return run_sections(ctx, {"only": section}, tiers)["only"]

@@ -16,24 +16,6 @@ from eventloom.operators.segments import run_sections
 from eventloom.vocab import EVENT_LABELS, LANGUAGES, TEMPLATE_LANG, TEMPLATE_PREFIX
 
 
-@dataclass
-class Dashboard:
-    """Sections by name. `release` drops what they share once all of them have been used."""
-
-    sections: dict[str, DataFrame]
-    shared: list[DataFrame] = field(default_factory=list)
-
-    def release(self) -> None:
-        for df in self.shared:
-            df.unpersist()
-
-    def __enter__(self) -> Dashboard:
-        return self
-
-    def __exit__(self, *_) -> None:
-        self.release()
-
-
 @dataclass(frozen=True)
 class Tables:
     """Lookup tables and windows the dashboard takes beside the context."""
@@ -46,8 +28,12 @@ class Tables:
     path_within: int = 1800 * paths.SECOND
 
 
-def dashboard(ctx: Ctx, tables: Tables = Tables()) -> Dashboard:
-    """All sections, lazily. What one pass over the intraday events can count is counted in one pass."""
+def dashboard(ctx: Ctx, tables: Tables = Tables()) -> dict[str, DataFrame]:
+    """All sections by name, as the dashboard rounds them.
+
+    What one pass over the intraday events can count is counted in one pass. Results several sections
+    read (totals per tier, tiers, trend, templates, path counts) are stored once; the rest is lazy.
+    """
     shared_sections = {
         "funnel": counts.event_counts_section(ctx.roles.funnel, ctx.periods),
         "prompt_overlap": counts.prompt_overlap_section(ctx),
@@ -59,13 +45,13 @@ def dashboard(ctx: Ctx, tables: Tables = Tables()) -> Dashboard:
         "payment": counts.payment_section(ctx),
         "exit_distribution": counts.event_counts_section(ctx.roles.exits, ctx.periods),
     }
-    sections, totals = run_sections(ctx, shared_sections, share=True)
+    sections = run_sections(ctx, shared_sections, keep=cut)
     sections["upgrade"] = sections["upgrade"].drop("period")
     sections["payment"] = sections["payment"].filter(F.col("tier") == "all").drop("tier")
 
-    tiered = tiers.user_tiers(ctx).persist()
-    trend = counts.trend_daily(ctx, tiered).persist()
-    templates = attribution.template_funnel(ctx).persist()
+    tiered = cut(tiers.user_tiers(ctx))
+    trend = cut(counts.trend_daily(ctx, tiered))
+    templates = cut(attribution.template_funnel(ctx))
     flow = cut(paths.path_counts(paths.path_steps(ctx, within=tables.path_within)))
     sections |= {
         "user_tiers": tiers.tier_stats(tiered),
@@ -85,7 +71,7 @@ def dashboard(ctx: Ctx, tables: Tables = Tables()) -> Dashboard:
         ),
         "cache_ratio": quality.cache_ratio(ctx),
     }
-    return Dashboard({name: presented(name, df) for name, df in sections.items()}, [totals, tiered, trend, templates])
+    return {name: presented(name, df) for name, df in sections.items()}
 
 
 # Column -> (factor, decimals) as the dashboard shows it; shares become percentages.
@@ -179,8 +165,8 @@ def document(sections: Mapping[str, DataFrame], updated: datetime) -> DataFrame:
     return parts.agg(F.concat(F.lit(f'{{"update_time":"{stamp}",'), body, F.lit("}")).alias("document"))
 
 
-def write_dashboard(board: Dashboard, path: str, updated: datetime) -> None:
+def write_dashboard(sections: Mapping[str, DataFrame], path: str, updated: datetime) -> None:
     """Each section as Parquet under `path/<section>` and the document as text under `path/document`."""
-    for section, df in board.sections.items():
+    for section, df in sections.items():
         df.write.mode("overwrite").parquet(f"{path}/{section}")
-    document(board.sections, updated).write.mode("overwrite").text(f"{path}/document")
+    document(sections, updated).write.mode("overwrite").text(f"{path}/document")

@@ -29,22 +29,21 @@ def between_days(lo: date | None, hi: date | None) -> list[Column]:
 
 @dataclass(frozen=True)
 class EventSource:
-    """Events in the canonical layout.
+    """Events in the canonical columns.
 
-    `between` says how a day range is filtered on `df` and `project` maps `df` to the canonical
-    columns; a table already in that layout needs neither.
+    `between` says how a range of days is filtered, for tables whose files are not laid out by
+    `event_date` but by some other column of `df`.
     """
 
     df: DataFrame
     between: Callable[[date | None, date | None], list[Column]] = between_days
-    project: Callable[[DataFrame], DataFrame] = lambda df: df
 
     def scan(self, lo: date | None = None, hi: date | None = None) -> DataFrame:
         """Events of the days [lo, hi)."""
         df = self.df
         for bound in self.between(lo, hi):
             df = df.filter(bound)
-        return self.project(df)
+        return df.select(*EVENTS.names)
 
     def days(self, lo: date, hi: date) -> DataFrame:
         """Days with at least one event of any name; reads the partition column only."""

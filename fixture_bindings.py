@@ -130,29 +130,29 @@ def _param(key: str, slots: dict[str, str]) -> str:
     return f"if({present}, named_struct('key', '{key}', 'value', named_struct({value})), null)"
 
 
-def _canonical(finalised: bool):
-    def project(df: DataFrame) -> DataFrame:
-        fields = df.selectExpr(
-            "cast(user_id as string) user_pseudo_id",
-            "user_id",
-            "event_type",
-            "value",
-            "cast(get_json_object(props, '$.k') as bigint) k",
-            "date_format(ts, 'yyyyMMdd') event_date",
-            f"{MICROS} event_timestamp",
-        )
-        # A generator, unlike a projection, keeps the long CASE out of every filter on the name.
-        named = fields.selectExpr("*", f"explode(array({event_name_sql(finalised)})) event_name")
-        bag = "array_compact(array(" + ", ".join(_param(k, s) for k, s in PARAMS) + "))"
-        return named.select(
-            "user_pseudo_id",
-            "event_name",
-            "event_timestamp",
-            F.expr(bag).cast(EVENT_PARAMS).alias("event_params"),
-            "event_date",
-        )
-
-    return project
+def _canonical(events: DataFrame, finalised: bool) -> DataFrame:
+    """Canonical columns and `ts`, by which days are filtered."""
+    fields = events.selectExpr(
+        "ts",
+        "cast(user_id as string) user_pseudo_id",
+        "user_id",
+        "event_type",
+        "value",
+        "cast(get_json_object(props, '$.k') as bigint) k",
+        "date_format(ts, 'yyyyMMdd') event_date",
+        f"{MICROS} event_timestamp",
+    )
+    # A generator, unlike a projection, keeps the long CASE out of every filter on the name.
+    named = fields.selectExpr("*", f"explode(array({event_name_sql(finalised)})) event_name")
+    bag = "array_compact(array(" + ", ".join(_param(k, s) for k, s in PARAMS) + "))"
+    return named.select(
+        "ts",
+        "user_pseudo_id",
+        "event_name",
+        "event_timestamp",
+        F.expr(bag).cast(EVENT_PARAMS).alias("event_params"),
+        "event_date",
+    )
 
 
 def _ts_between(lo: date | None, hi: date | None):
@@ -173,11 +173,10 @@ def fx_context(spark: SparkSession, sf_dir: str, as_of: date = AS_OF) -> Ctx:
     """Intraday holds every row; finalised holds every row of the days before FINALISED_UNTIL."""
     events = _events(spark, sf_dir)
     return Ctx(
-        intraday=EventSource(events, _ts_between, _canonical(False)),
+        intraday=EventSource(_canonical(events, False), _ts_between),
         daily=EventSource(
-            events,
+            _canonical(events, True),
             lambda lo, hi: _ts_between(lo, FINALISED_UNTIL if hi is None else min(hi, FINALISED_UNTIL)),
-            _canonical(True),
         ),
         as_of=as_of,
         roles=FX_ROLES,
