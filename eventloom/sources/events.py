@@ -32,11 +32,13 @@ class EventSource:
     """Events in the canonical columns.
 
     `between` says how a range of days is filtered, for tables whose files are not laid out by
-    `event_date` but by some other column of `df`.
+    `event_date` but by some other column of `df`. `table` names a catalog table partitioned by
+    `event_date`, whose days are then read from the catalog.
     """
 
     df: DataFrame
     between: Callable[[date | None, date | None], list[Column]] = between_days
+    table: str | None = None
 
     def scan(self, lo: date | None = None, hi: date | None = None) -> DataFrame:
         """Events of the days [lo, hi)."""
@@ -46,8 +48,14 @@ class EventSource:
         return df.select(*EVENTS.names)
 
     def days(self, lo: date, hi: date) -> DataFrame:
-        """Days with at least one event of any name; reads the partition column only."""
-        return self.scan(lo, hi).select("event_date").distinct()
+        """Days with at least one event of any name; reads the catalog or the partition column only."""
+        if self.table is None:
+            return self.scan(lo, hi).select("event_date").distinct()
+        partitions = self.df.sparkSession.sql(f"show partitions {self.table}")
+        days = partitions.select(F.regexp_extract("partition", r"event_date=(\d{8})", 1).alias("event_date"))
+        for bound in between_days(lo, hi):
+            days = days.filter(bound)
+        return days.distinct()
 
 
 def read_events(spark: SparkSession, path: str) -> EventSource:
@@ -56,7 +64,8 @@ def read_events(spark: SparkSession, path: str) -> EventSource:
 
 
 def table_events(spark: SparkSession, table: str) -> EventSource:
-    return EventSource(spark.table(table))
+    """Catalog table partitioned by `event_date` (string)."""
+    return EventSource(spark.table(table), table=table)
 
 
 def calendar(spark: SparkSession, lo: date, hi: date) -> DataFrame:
