@@ -12,11 +12,6 @@ def ratio(part: Column, whole: Column, empty: float | None = 0.0) -> Column:
 
 
 def count_where(condition: Column) -> Column:
-    """Rows meeting `condition`.
-
-    Many `count_if` in one aggregate put a projection of all conditions in front of it, whose
-    generated code outgrows what the JVM compiles; this form is generated per aggregate.
-    """
     return F.count(F.when(condition, F.lit(1)))
 
 

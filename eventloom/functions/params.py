@@ -5,22 +5,24 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from eventloom.functions.sql import quoted
 
-def _value(key: str) -> Column:
-    return F.get(F.filter("event_params", lambda p: p["key"] == key), F.lit(0))["value"]
+
+def param_sql(key: str, slot: str) -> str:
+    """First value of `key` in `slot`, NULL when the key is absent."""
+    return f"get(filter(event_params, p -> p.key = {quoted(key)}), 0).value.{slot}"
 
 
 def string_param(key: str) -> Column:
-    """First value of `key` in its string slot, NULL when the key is absent."""
-    return _value(key)["string_value"]
+    return F.expr(param_sql(key, "string_value"))
 
 
 def int_param(key: str) -> Column:
-    return _value(key)["int_value"]
+    return F.expr(param_sql(key, "int_value"))
 
 
 def double_param(key: str) -> Column:
-    return _value(key)["double_value"]
+    return F.expr(param_sql(key, "double_value"))
 
 
 def number_param(key: str) -> Column:

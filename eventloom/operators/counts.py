@@ -10,12 +10,7 @@ from pyspark.sql import functions as F
 from eventloom.context import Ctx, Period
 from eventloom.functions.numbers import count_where, ratio
 from eventloom.functions.params import string_param
-from eventloom.operators.segments import (
-    USER,
-    Measure,
-    Section,
-    run_section,
-)
+from eventloom.operators.segments import USER, Measure, Section, run_section
 from eventloom.sources.events import between_days, unified
 from eventloom.vocab import FROM_PATH
 
@@ -33,7 +28,7 @@ def event_counts_section(events: Iterable[str], periods: Iterable[Period]) -> Se
             for p, e in pairs
         ],
         keys=("period", "event_name"),
-        keep=lambda: F.col("event_count") > 0,
+        keep="event_count > 0",
     )
 
 

@@ -11,15 +11,15 @@ from pyspark.sql import functions as F
 
 from eventloom.context import Ctx, Period
 from eventloom.functions.numbers import count_where, exact_sum, ratio
-from eventloom.functions.params import int_param, number_param, string_param
+from eventloom.functions.params import int_param, number_param, param_sql, string_param
 from eventloom.operators.segments import USER, Measure, Section, run_section
 from eventloom.sources.events import between_days, unified
 from eventloom.vocab import ACTION, CREDIT_TYPE, CREDITS, DISLIKE, FROM_CACHE, LIKE, VOICES_PER_GENERATE
 
 
 def _rated(ctx: Ctx, period: Period, *actions: int) -> Measure:
-    action = int_param(ACTION)
-    return Measure(period, (ctx.roles.rate,), where=action.isin(*actions), tag=f"action{actions}")
+    listed = ", ".join(map(str, actions))
+    return Measure(period, (ctx.roles.rate,), where=f"{param_sql(ACTION, 'int_value')} in ({listed})")
 
 
 def rating_section(ctx: Ctx, days: int = 7) -> Section:

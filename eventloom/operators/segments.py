@@ -10,179 +10,163 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
-from functools import reduce
-from operator import and_, or_
+from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.context import SEGMENTS, Ctx, Period, TierRule
-from eventloom.functions.numbers import count_where
-from eventloom.sources.events import between_days
+from eventloom.functions.sql import between_sql, count_sql, named_sql, quoted
 
 USER = "user_pseudo_id"
 BITS = 62
 
 
-@dataclass(frozen=True, eq=False)
+@dataclass(frozen=True)
 class Measure:
-    """Events with one of `names` (or a name like `like`) and `where`, within `period`."""
+    """Events with one of `names` (or a name like `like`) meeting the SQL condition `where`, within `period`."""
 
     period: Period
     names: tuple[str, ...] = ()
     like: str | None = None
-    where: Column | None = None
-    tag: str = ""
+    where: str | None = None
 
     @property
     def key(self) -> tuple:
-        return (self.period.lo, self.period.hi, self.names, self.like, self.tag)
-
-    def named(self) -> Column:
-        name = F.col("event_name")
-        return name.like(self.like) if self.like else name.isin(*self.names)
+        """Equal for measures that count the same, whatever their periods are called."""
+        return (self.period.lo, self.period.hi, self.names, self.like, self.where)
 
-    def condition(self) -> Column:
-        parts = [self.named(), *between_days(self.period.lo, self.period.hi)]
-        if self.where is not None:
-            parts.append(self.where)
-        return reduce(and_, parts)
+    def condition(self) -> str:
+        parts = [named_sql(self.names, self.like), between_sql(self.period.lo, self.period.hi), self.where]
+        return " and ".join(part for part in parts if part)
 
 
 class Counted:
     """Hands out the per-tier columns of measures and remembers which ones were asked for."""
 
     def __init__(self):
-        self.measures: dict[tuple, Measure] = {}
-        self.totals: dict[str, Column] = {}
+        self.measures: dict[str, Measure] = {}
+        self.totals: dict[str, str] = {}
+        self._names: dict[tuple, str] = {}
 
     def per_user(self, m: Measure) -> str:
-        self.measures.setdefault(m.key, m)
-        return f"m{list(self.measures).index(m.key)}"
+        name = self._names.setdefault(m.key, f"m{len(self._names)}")
+        self.measures.setdefault(name, m)
+        return name
 
-    def _total(self, name: str, value: Column) -> str:
-        self.totals.setdefault(name, value)
+    def _total(self, name: str, value: str) -> str:
+        self.totals[name] = value
         return name
 
     def events(self, m: Measure) -> str:
         mine = self.per_user(m)
-        return self._total(f"{mine}_events", F.sum(mine))
+        return self._total(f"{mine}_events", f"sum({mine})")
 
     def users(self, m: Measure) -> str:
         """Distinct non-null users."""
         mine = self.per_user(m)
-        return self._total(f"{mine}_users", count_where(F.col(USER).isNotNull() & (F.col(mine) > 0)))
+        return self._total(f"{mine}_users", count_sql(f"{USER} is not null and {mine} > 0"))
 
     def members(self, m: Measure) -> str:
         """Size of the set of users, in which a missing user id is one member."""
         mine = self.per_user(m)
-        return self._total(f"{mine}_members", count_where(F.col(mine) > 0))
+        return self._total(f"{mine}_members", count_sql(f"{mine} > 0"))
 
     def shared(self, *ms: Measure) -> str:
         """Users with every one of the measures."""
         mine = [self.per_user(m) for m in ms]
-        every = reduce(and_, [F.col(c) > 0 for c in mine], F.col(USER).isNotNull())
-        return self._total("_".join(mine) + "_shared", count_where(every))
+        every = " and ".join(f"{c} > 0" for c in mine)
+        return self._total("_".join(mine) + "_shared", count_sql(f"{USER} is not null and {every}"))
 
 
 @dataclass(frozen=True, eq=False)
 class Section:
     """One report table: `rows` maps names to literal keys and to columns taken from `Counted`."""
 
-    rows: Callable[[Counted], list[dict[str, object]]]
+    rows: Callable[[Counted], list[dict[str, str]]]
     keys: tuple[str, ...]
-    keep: Callable[[], Column] | None = None
+    keep: str | None = None
     derive: Callable[[DataFrame], DataFrame] = lambda df: df
 
 
-def active_day_masks(rule: TierRule, as_of, active: Column) -> dict[str, Column]:
-    """Bit masks of the days before `as_of` with an active row; their bits count distinct days."""
-    back = F.datediff(F.lit(as_of), F.to_date("event_date", "yyyyMMdd")) - 1
-    masks = {}
-    for i in range(0, rule.days, BITS):
-        here = active if rule.days <= BITS else active & (back >= i) & (back < i + BITS)
-        masks[f"days{i // BITS}"] = F.bit_or(F.when(here, F.call_function("shiftleft", F.lit(1).cast("long"), back - i)))
-    return masks
+def active_day_masks(rule: TierRule, as_of: date, active: str = "true") -> dict[str, str]:
+    """Bit masks of the days before `as_of` with an `active` row; their bits count distinct days."""
+    back = f"datediff(date'{as_of}', to_date(event_date, 'yyyyMMdd')) - 1"
+    return {
+        f"days{i // BITS}": f"bit_or(case when {active} and {back} between {i} and {i + BITS - 1}"
+        f" then shiftleft(1L, {back} - {i}) end)"
+        for i in range(0, rule.days, BITS)
+    }
 
 
-def days_in(masks: Iterable[str]) -> Column:
-    return sum((F.coalesce(F.bit_count(F.col(m)), F.lit(0)) for m in masks), F.lit(0)).cast("long")
+def days_in(masks: Iterable[str]) -> str:
+    return "cast(" + " + ".join(f"coalesce(bit_count({m}), 0)" for m in masks) + " as bigint)"
 
 
-def tier_of(avg: Column, rule: TierRule) -> Column:
+def tier_of(avg: str, rule: TierRule) -> str:
     return (
-        F.when(avg >= rule.high, "high")
-        .when((avg > rule.mid) & (avg < rule.high), "mid")
-        .when(avg > 0, "low")
-        .otherwise("none")
+        f"case when {avg} >= {rule.high}D then 'high' when {avg} > {rule.mid}D and {avg} < {rule.high}D then 'mid'"
+        f" when {avg} > 0 then 'low' else 'none' end"
     )
 
 
 def user_profile(ctx: Ctx, counted: Counted | None = None, tiers: bool = True) -> DataFrame:
     """One row per user: the measures and, with `tiers`, the tier inputs over the tier window."""
-    measures = list(counted.measures.values()) if counted else []
+    measures = dict(counted.measures) if counted else {}
     roles, rule = ctx.roles, ctx.tier_rule
-    names = {n for m in measures for n in m.names}
-    starts = [m.period.lo for m in measures]
-    ends = [m.period.hi for m in measures]
-    aggs = [count_where(m.condition()).alias(counted.per_user(m)) for m in measures]
+    masks = {}
     if tiers:
         window = Period("tiers", ctx.ago(rule.days), ctx.as_of)
-        names |= {roles.exposure, roles.generate}
-        starts.append(window.lo)
-        ends.append(window.hi)
-        generated = Measure(window, (roles.generate,)).condition()
-        masks = active_day_masks(rule, ctx.as_of, generated)
-        aggs += [
-            count_where(Measure(window, (roles.exposure,)).condition()).alias("exposures"),
-            count_where(generated).alias("generates"),
-            *[mask.alias(name) for name, mask in masks.items()],
-        ]
-    wanted = F.col("event_name").isin(*sorted(names))
-    likes = {m.like: m.named() for m in measures if m.like}
-    wanted = reduce(or_, likes.values(), wanted)
-    hi = None if None in ends else max(ends)
-    profile = ctx.intraday.scan(min(starts), hi).filter(wanted).groupBy(USER).agg(*aggs)
+        generated = Measure(window, (roles.generate,))
+        masks = active_day_masks(rule, ctx.as_of, generated.condition())
+        measures |= {"exposures": Measure(window, (roles.exposure,)), "generates": generated}
+    names = tuple(sorted({n for m in measures.values() for n in m.names}))
+    likes = sorted({m.like for m in measures.values() if m.like})
+    wanted = ([named_sql(names)] if names else []) + [named_sql(like=like) for like in likes]
+    ends = [m.period.hi for m in measures.values()]
+    events = ctx.intraday.scan(
+        min(m.period.lo for m in measures.values()), None if None in ends else max(ends)
+    )
+    aggs = {name: count_sql(m.condition()) for name, m in measures.items()} | masks
+    profile = events.filter(" or ".join(wanted)).groupBy(USER).agg(*[F.expr(f"{agg} as {n}") for n, agg in aggs.items()])
     if not tiers:
         return profile
-    kept = [c for c in profile.columns if c not in masks]
-    profile = profile.select(*kept, days_in(masks).alias("active_days"))
     # A missing id never equals itself, so such rows count as exposed but not as generating.
-    avg = F.when(
-        F.col(USER).isNotNull() & (F.col("generates") > 0),
-        F.col("generates").cast("double") / F.col("active_days").cast("double"),
-    ).otherwise(F.lit(0.0))
-    profile = profile.withColumn("avg_daily_generates", avg)
-    return profile.withColumn("tier", F.when(F.col("exposures") > 0, tier_of(F.col("avg_daily_generates"), rule)))
+    avg = f"case when {USER} is not null and generates > 0 then double(generates) / double(active_days) else 0D end"
+    return (
+        profile.selectExpr(USER, *measures, f"{days_in(masks)} as active_days")
+        .selectExpr("*", f"{avg} as avg_daily_generates")
+        .selectExpr("*", f"case when exposures > 0 then {tier_of('avg_daily_generates', rule)} end as tier")
+    )
 
 
 def tier_totals(ctx: Ctx, counted: Counted, tiers: bool = True) -> DataFrame:
     """One row per tier (and one for users without a tier) with every count asked of `counted`."""
+    tier = F.expr(f"case when {USER} is not null then {'tier' if tiers else 'cast(null as string)'} end as tier")
     profile = user_profile(ctx, counted, tiers)
-    tier = F.when(F.col(USER).isNotNull(), F.col("tier")) if tiers else F.lit(None).cast("string")
-    return profile.groupBy(tier.alias("tier")).agg(*[value.alias(name) for name, value in counted.totals.items()])
+    return profile.groupBy(tier).agg(*[F.expr(f"{value} as {name}") for name, value in counted.totals.items()])
 
 
-def spread(totals: DataFrame, rows: list[dict[str, object]], section: Section, tiers: bool = True) -> DataFrame:
+def spread(totals: DataFrame, rows: list[dict[str, str]], section: Section, tiers: bool = True) -> DataFrame:
     """Rows of one section, for all users together and for each tier; tiers nobody is in show zeros."""
     metrics = [c for c in rows[0] if c not in section.keys]
-    listed = F.array(*[
-        F.struct(*[(F.lit(v) if name in section.keys else F.col(v)).alias(name) for name, v in row.items()])
-        for row in rows
-    ])
+
+    def struct(row):
+        fields = [f"{quoted(n)}, {quoted(v) if n in section.keys else v}" for n, v in row.items()]
+        return f"named_struct({', '.join(fields)})"
+
+    listed = f"array({', '.join(map(struct, rows))})"
+    mine, keys = "true", list(section.keys)
     if tiers:
-        segments = F.array(*[F.lit(s) for s in SEGMENTS])
-        flat = totals.select(F.col("tier").alias("own"), F.explode(segments).alias("tier"), listed.alias("r"))
-        flat = flat.select("own", "tier", F.inline("r"))
-        mine = (F.col("tier") == "all") | F.col("own").eqNullSafe(F.col("tier"))
-        keys = [*section.keys, "tier"]
+        segments = ", ".join(map(quoted, SEGMENTS))
+        totals = totals.selectExpr("tier as own", f"explode(array({segments})) as tier", f"{listed} as listed")
+        flat = totals.selectExpr("own", "tier", "inline(listed)")
+        mine, keys = "tier = 'all' or own <=> tier", [*keys, "tier"]
     else:
-        flat = totals.select(F.inline(listed))
-        mine = F.lit(True)
-        keys = list(section.keys)
-    out = flat.groupBy(*keys).agg(*[F.sum(F.when(mine, F.col(c)).otherwise(0)).alias(c) for c in metrics])
+        flat = totals.selectExpr(f"inline({listed})")
+    out = flat.groupBy(*keys).agg(*[F.expr(f"sum(case when {mine} then `{c}` else 0 end) as `{c}`") for c in metrics])
     if section.keep is not None:
-        out = out.filter(section.keep())
+        out = out.filter(section.keep)
     return section.derive(out)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from eventloom.context import Ctx
 from eventloom.functions.numbers import exact_avg, ratio
 from eventloom.functions.tables import literal_table
-from eventloom.operators.segments import USER, Measure, Period, active_day_masks, days_in, user_profile
+from eventloom.operators.segments import USER, active_day_masks, days_in, user_profile
 
 
 def user_tiers(ctx: Ctx) -> DataFrame:
@@ -34,14 +34,13 @@ GENERATE_TIERS = ("high", "mid", "low")
 def generate_tier_summary(ctx: Ctx) -> DataFrame:
     """Generating users by tier, exposed or not; the three tiers are always present."""
     rule = ctx.tier_rule
-    generated = Measure(Period("tiers", ctx.ago(rule.days), ctx.as_of), (ctx.roles.generate,))
-    masks = active_day_masks(rule, ctx.as_of, F.lit(True))
+    masks = active_day_masks(rule, ctx.as_of)
     users = (
-        ctx.intraday.scan(generated.period.lo, generated.period.hi)
-        .filter(generated.named())
+        ctx.intraday.scan(ctx.ago(rule.days), ctx.as_of)
+        .filter(F.col("event_name") == ctx.roles.generate)
         .groupBy(USER)
-        .agg(F.count(F.lit(1)).alias("generates"), *[mask.alias(name) for name, mask in masks.items()])
-        .withColumn("days", days_in(masks))
+        .agg(F.count(F.lit(1)).alias("generates"), *[F.expr(f"{mask} as {name}") for name, mask in masks.items()])
+        .withColumn("days", F.expr(days_in(masks)))
     )
     avg = F.col("generates").cast("double") / F.col("days").cast("double")
     tier = F.when(avg >= rule.high, "high").when(avg > rule.mid, "mid").otherwise("low")

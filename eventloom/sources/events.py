@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +16,10 @@ def day_text(day: date) -> str:
     return day.strftime("%Y%m%d")
 
 
+def each_day(lo: date, hi: date) -> list[date]:
+    return [lo + timedelta(days=n) for n in range((hi - lo).days)]
+
+
 def between_days(lo: date | None, hi: date | None) -> list[Column]:
     """Literal bounds on the partition column, so the scan lists only these days."""
     day = F.col("event_date")
@@ -39,6 +43,7 @@ class EventSource:
     df: DataFrame
     between: Callable[[date | None, date | None], list[Column]] = between_days
     table: str | None = None
+    _listed: dict = field(default_factory=dict, compare=False, repr=False)
 
     def scan(self, lo: date | None = None, hi: date | None = None) -> DataFrame:
         """Events of the days [lo, hi)."""
@@ -57,6 +62,12 @@ class EventSource:
             days = days.filter(bound)
         return days.distinct()
 
+    def listed_days(self, lo: date, hi: date) -> frozenset[str]:
+        """`days` on the driver, at most one per day of the range; looked up once per range."""
+        if (lo, hi) not in self._listed:
+            self._listed[lo, hi] = frozenset(row["event_date"] for row in self.days(lo, hi).collect())
+        return self._listed[lo, hi]
+
 
 def read_events(spark: SparkSession, path: str) -> EventSource:
     """Parquet laid out as `event_date=yyyyMMdd/`."""
@@ -68,12 +79,6 @@ def table_events(spark: SparkSession, table: str) -> EventSource:
     return EventSource(spark.table(table), table=table)
 
 
-def calendar(spark: SparkSession, lo: date, hi: date) -> DataFrame:
-    return spark.range(0, (hi - lo).days, 1, 1).select(
-        F.date_format(F.date_add(F.lit(lo), F.col("id").cast("int")), "yyyyMMdd").alias("event_date")
-    )
-
-
 def unified(
     daily: EventSource, intraday: EventSource, lo: date, hi: date, include_today: bool = True
 ) -> DataFrame:
@@ -83,12 +88,16 @@ def unified(
     because the days are looked up before any event filter. `include_today` lets intraday reach one
     day further than the finalised range.
 
-    The days still open are joined as a broadcast of at most `hi - lo + 1` rows. Written as a semi
-    join (not an anti join on the finalised days) it also prunes the intraday partitions at run time.
+    The days still open become literals, so the intraday scan lists just their partitions and the
+    union needs no join.
     """
     last = hi + timedelta(days=1) if include_today else hi
-    open_days = calendar(intraday.df.sparkSession, lo, last).join(
-        F.broadcast(daily.days(lo, hi)), "event_date", "left_anti"
-    )
-    provisional = intraday.scan(lo, last).join(F.broadcast(open_days), "event_date", "left_semi")
-    return daily.scan(lo, hi).unionByName(provisional)
+    finalised = daily.listed_days(lo, hi)
+    open_days = [day for day in each_day(lo, last) if day_text(day) not in finalised]
+    events = daily.scan(lo, hi)
+    if not open_days:
+        return events
+    provisional = intraday.scan(open_days[0], open_days[-1] + timedelta(days=1))
+    if (open_days[-1] - open_days[0]).days >= len(open_days):
+        provisional = provisional.filter(F.col("event_date").isin(*map(day_text, open_days)))
+    return events.unionByName(provisional)
