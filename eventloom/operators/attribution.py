@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventloom.context import Ctx
@@ -223,28 +223,33 @@ def template_funnel(ctx: Ctx, days: int = 7, hot_rows: int = HOT_ROWS) -> DataFr
     """Per clicked template: clicks, clicking users, attributed saves; exposures and saves overall."""
     roles = ctx.roles
     name = F.col("event_name")
-    events = _template_events(ctx, days)
-    clicks = (
-        events.filter(name == roles.template_click)
-        .groupBy("template_id", USER)
+    clicked = name == roles.template_click
+    per_user = (
+        _template_events(ctx, days)
+        .groupBy("event_name", F.when(clicked, F.col("template_id")).alias("template_id"), USER)
         .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("template_id")
-        .agg(F.sum("n").alias("clicks"), F.count(USER).alias("click_users"))
     )
-    saves = template_attribution(ctx, days, hot_rows).groupBy("template_id").agg(F.count(F.lit(1)).alias("saves"))
-    overall = events.agg(
-        F.struct(count_where(name == roles.exposure).alias("exposures"), count_where(name == roles.save).alias("saves"))
+    sizes = per_user.groupBy("event_name", "template_id").agg(
+        F.sum("n").alias("clicks"), F.count(USER).alias("click_users")
     )
+    everything = Window.partitionBy(F.lit(1))  # a row per template and two more
+
+    def overall(event):
+        return F.coalesce(F.sum(F.when(name == event, F.col("clicks"))).over(everything), F.lit(0))
+
+    clicks = sizes.select(
+        "*", overall(roles.exposure).alias("exposure_count"), overall(roles.save).alias("total_saves")
+    ).filter(clicked)
+    saves = template_attribution(ctx, days, hot_rows).groupBy("template_id").agg(F.count(F.lit(1)).alias("saves"))
     return (
         clicks.join(saves, "template_id", "left")
-        .withColumn("overall", overall.scalar())
         .select(
             "template_id",
             "clicks",
             "click_users",
             F.coalesce("saves", F.lit(0)).alias("saves"),
-            F.col("overall.exposures").alias("exposure_count"),
-            F.col("overall.saves").alias("total_saves"),
+            "exposure_count",
+            "total_saves",
         )
         .orderBy(F.desc("clicks"), "template_id")
     )
@@ -256,8 +261,8 @@ def template_detail(
     """Templates of a known language with their save rate and share of the language's clicks."""
     known = literal_table(funnel.sparkSession, ["template_id", "language"], languages.items())
     detail = funnel.join(F.broadcast(known), "template_id")
-    per_language = detail.groupBy("language").agg(F.sum("clicks").alias("language_clicks"))
-    return detail.join(F.broadcast(per_language), "language").select(  # one row per language
+    in_language = F.sum("clicks").over(Window.partitionBy("language"))  # as many rows as the lookup lists
+    return detail.select(
         "language",
         "template_id",
         F.replace(F.col("template_id"), F.lit(prefix), F.lit("")).alias("name"),
@@ -265,7 +270,7 @@ def template_detail(
         "click_users",
         "saves",
         ratio(F.col("saves"), F.col("clicks")).alias("save_click_rate"),
-        ratio(F.col("clicks"), F.col("language_clicks")).alias("click_share"),
+        ratio(F.col("clicks"), in_language).alias("click_share"),
     )
 
 
@@ -273,32 +278,33 @@ def template_language(
     funnel: DataFrame, languages: dict[str, str] = TEMPLATE_LANG, listed: Sequence[str] = LANGUAGES
 ) -> DataFrame:
     """Clicks and saves per language; every listed language appears unless nothing was clicked at all."""
-    spark = funnel.sparkSession
-    known = literal_table(spark, ["template_id", "language"], languages.items())
-    overall = funnel.agg(
-        F.max(F.struct("exposure_count", F.col("total_saves").alias("all_saves"))).alias("overall")
-    )
-    sums = (
-        funnel.join(F.broadcast(known), "template_id")
+    known = literal_table(funnel.sparkSession, ["template_id", "language"], languages.items())
+    metrics = ("templates", "clicks", "saves")
+    per_language = (
+        funnel.join(F.broadcast(known), "template_id", "left")
         .groupBy("language")
-        .agg(F.count(F.lit(1)).alias("templates"), F.sum("clicks").alias("clicks"), F.sum("saves").alias("saves"))
+        .agg(
+            F.count(F.lit(1)).alias("templates"),
+            F.sum("clicks").alias("clicks"),
+            F.sum("saves").alias("saves"),
+            F.max("exposure_count").alias("exposure_count"),
+            F.max("total_saves").alias("total_saves"),
+        )
     )
-    everything = (
-        literal_table(spark, ["language"], [[lang] for lang in listed])
-        .join(sums, "language", "left")
-        .na.fill(0, ["templates", "clicks", "saves"])
-        .withColumn("overall", overall.scalar())
-        .filter(F.col("overall").isNotNull())
-        .select("language", "templates", "clicks", "saves", "overall.*")
+    # One row per language and one for unknown templates; the latter only lends its totals.
+    one_row = per_language.agg(
+        F.max("exposure_count").alias("exposure_count"),
+        F.max("total_saves").alias("total_saves"),
+        F.collect_list(F.struct("language", *metrics)).alias("found"),
+    ).filter(F.col("exposure_count").isNotNull())
+    rows = one_row.withColumn("language", F.explode(F.array(*map(F.lit, listed))))
+    mine = F.get(F.filter("found", lambda f: f["language"] == F.col("language")), F.lit(0))
+    filled = rows.select(
+        "language", *[F.coalesce(mine[m], F.lit(0)).alias(m) for m in metrics], "exposure_count", "total_saves"
     )
-    return everything.select(
-        "language",
-        "templates",
-        "clicks",
-        "saves",
-        "exposure_count",
-        F.col("all_saves").alias("total_saves"),
+    return filled.select(
+        "*",
         ratio(F.col("clicks"), F.col("exposure_count")).alias("click_rate"),
-        ratio(F.col("saves"), F.col("all_saves")).alias("save_rate"),
+        ratio(F.col("saves"), F.col("total_saves")).alias("save_rate"),
         ratio(F.col("saves"), F.col("clicks")).alias("save_click_rate"),
     )
