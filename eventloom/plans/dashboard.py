@@ -111,12 +111,16 @@ CHANGES = {
 
 
 def presented(section: str, df: DataFrame) -> DataFrame:
+    if section not in ROUNDING:
+        return df
     df = df.withColumns({
-        c: F.round(F.col(c) * float(factor), decimals) for c, (factor, decimals) in ROUNDING.get(section, {}).items()
+        c: F.round(F.col(c) * float(factor), decimals) for c, (factor, decimals) in ROUNDING[section].items()
     })
+    if section not in CHANGES:
+        return df
     return df.withColumns({
         c: F.round(F.col(now) - F.col(before), decimals)
-        for c, (now, before, decimals) in CHANGES.get(section, {}).items()
+        for c, (now, before, decimals) in CHANGES[section].items()
     })
 
 
@@ -138,12 +142,12 @@ def dashboard_rows(sections: Mapping[str, DataFrame]) -> DataFrame:
             named["item"] = ["parent1", "parent2", "event_name"]
         taken = {c for names in named.values() for c in names}
         metrics = [c for c in df.columns if c not in taken and c not in TEXTS]
-        pairs = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics])
+        pairs = ", ".join(f"named_struct('metric', '{m}', 'value', double(`{m}`))" for m in metrics)
         roles = [
-            (F.concat_ws(" > ", *names) if names else F.lit(None).cast("string")).alias(role)
+            f"concat_ws(' > ', {', '.join(names)}) as {role}" if names else f"cast(null as string) as {role}"
             for role, names in named.items()
         ]
-        tables.append(df.select(F.lit(section).alias("section"), *roles, F.inline(pairs)))
+        tables.append(df.selectExpr(f"'{section}' as section", *roles, f"inline(array({pairs}))"))
     rows = tables[0]
     for table in tables[1:]:
         rows = rows.unionByName(table)
