@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventloom.llm import fertility
+from eventloom.llm import fertility, jaccard
+from eventloom.llm.oracles import ORACLES
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,7 +19,14 @@ def op1_fertility(spark, sf_dir):
     return found.select("doc_id", *[f"{m}.{c}" for c in (*fertility.BASE, "base_failed", "kept", *ratios)])
 
 
+def op9_jaccard(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard.linked(docs, join=jaccard.Join(width=3, num=90, den=100)).withColumnRenamed("component", "component_id")
+
+
 QUERIES = {
     "op1_fertility": op1_fertility,
+    "op9_jaccard": op9_jaccard,
 }
-ORACLES: dict[str, str] = {}
+
+__all__ = ["ORACLES", "QUERIES"]
