@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 #: Words of a text, and A-Z in lower case.
-WORDS = r"regexp_extract_all({}, '[^\\x20\\x09-\\x0D]+')"
+WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 FOLDED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
@@ -19,11 +19,11 @@ def jaccard_links(width: int, num: int, den: int, docs: str = "documents") -> st
         from tokens),
     sizes as (select doc_id, count(*) as n from shingles group by all),
     shared as (
-        select x.doc_id as a, y.doc_id as b, count(*) as both from shingles x join shingles y on x.s = y.s and x.doc_id < y.doc_id
+        select x.doc_id as a, y.doc_id as b, count(*) as n_both from shingles x join shingles y on x.s = y.s and x.doc_id < y.doc_id
         group by all),
     links as (
         select a, b from shared join sizes p on p.doc_id = a join sizes q on q.doc_id = b
-        where {den} * both >= {num} * (p.n + q.n - both)),
+        where {den} * n_both >= {num} * (p.n + q.n - n_both)),
     both_ways as (select a, b from links union all select b, a from links),
     reach(a, b) as (
         select doc_id, doc_id from tokens

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventloom.llm import fertility, jaccard
+from eventloom.llm import decontaminate, fertility, jaccard
 from eventloom.llm.oracles import ORACLES
 
 
@@ -19,6 +19,10 @@ def op1_fertility(spark, sf_dir):
     return found.select("doc_id", *[f"{m}.{c}" for c in (*fertility.BASE, "base_failed", "kept", *ratios)])
 
 
+def op2_spaced_seeds(spark, sf_dir):
+    return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_jaccard(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return jaccard.linked(docs, join=jaccard.Join(width=3, num=90, den=100)).withColumnRenamed("component", "component_id")
@@ -26,6 +30,7 @@ def op9_jaccard(spark, sf_dir):
 
 QUERIES = {
     "op1_fertility": op1_fertility,
+    "op2_spaced_seeds": op2_spaced_seeds,
     "op9_jaccard": op9_jaccard,
 }
 
