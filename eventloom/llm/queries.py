@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventloom.llm import decontaminate, fertility, jaccard
+from eventloom.llm import decontaminate, fertility, jaccard, pii
 from eventloom.llm.oracles import ORACLES
 
 
@@ -28,10 +28,16 @@ def op9_jaccard(spark, sf_dir):
     return jaccard.linked(docs, join=jaccard.Join(width=3, num=90, den=100)).withColumnRenamed("component", "component_id")
 
 
+def op10_personal_data(spark, sf_dir):
+    found, m = pii.found(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return found.select("doc_id", *[f"{m}.n_{k}" for k in pii.KINDS], f"{m}.base_sha256", f"{m}.spans", f"{m}.n_added")
+
+
 QUERIES = {
     "op1_fertility": op1_fertility,
     "op2_spaced_seeds": op2_spaced_seeds,
     "op9_jaccard": op9_jaccard,
+    "op10_personal_data": op10_personal_data,
 }
 
 __all__ = ["ORACLES", "QUERIES"]
