@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from eventloom.llm import decontaminate, fertility, jaccard, pii
+from eventloom.llm import decontaminate, fertility, jaccard, lattice, pii
 from eventloom.llm.oracles import ORACLES
 
 
@@ -23,6 +24,12 @@ def op2_spaced_seeds(spark, sf_dir):
     return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_segmentations(spark, sf_dir):
+    """A row per document and sampled segmentation."""
+    found, samples = lattice.sampled(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return found.select("doc_id", F.inline(samples))
+
+
 def op9_jaccard(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return jaccard.linked(docs, join=jaccard.Join(width=3, num=90, den=100)).withColumnRenamed("component", "component_id")
@@ -36,6 +43,7 @@ def op10_personal_data(spark, sf_dir):
 QUERIES = {
     "op1_fertility": op1_fertility,
     "op2_spaced_seeds": op2_spaced_seeds,
+    "op6_segmentations": op6_segmentations,
     "op9_jaccard": op9_jaccard,
     "op10_personal_data": op10_personal_data,
 }

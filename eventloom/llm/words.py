@@ -111,11 +111,11 @@ class Texts:
         return self.data[start:end].tobytes().decode("utf-8", "replace")
 
 
-def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    """The batch in runs of rows of about SLICE_BYTES of text."""
+def slices(batch: pa.RecordBatch, column: str, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows of about `size` bytes of text."""
     texts = batch.column(batch.schema.get_field_index(column))
     lengths = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-    cuts = np.flatnonzero(np.diff(np.cumsum(lengths) // SLICE_BYTES)) + 1
+    cuts = np.flatnonzero(np.diff(np.cumsum(lengths) // size)) + 1
     for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
         if b > a:
             yield batch.slice(a, b - a)
