@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import decontaminate, fertility, jaccard, lattice, pii
+from eventloom.llm import decontaminate, fertility, jaccard, lattice, pii, secrets
 from eventloom.llm.oracles import ORACLES
 
 
@@ -30,6 +30,12 @@ def op6_segmentations(spark, sf_dir):
     return found.select("doc_id", F.inline(samples))
 
 
+def op8_secrets(spark, sf_dir):
+    """A row per secret; the value itself only as a hash."""
+    found = secrets.findings(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "start", "end", F.sha2("value", 256).alias("value_sha256"), "score")
+
+
 def op9_jaccard(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return jaccard.linked(docs, join=jaccard.Join(width=3, num=90, den=100)).withColumnRenamed("component", "component_id")
@@ -44,6 +50,7 @@ QUERIES = {
     "op1_fertility": op1_fertility,
     "op2_spaced_seeds": op2_spaced_seeds,
     "op6_segmentations": op6_segmentations,
+    "op8_secrets": op8_secrets,
     "op9_jaccard": op9_jaccard,
     "op10_personal_data": op10_personal_data,
 }
