@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import decontaminate, fertility, jaccard, lattice, passages, pii, secrets
+from eventloom.llm import decontaminate, fertility, jaccard, lattice, licences, passages, pii, secrets
 from eventloom.llm.oracles import ORACLES
 
 
@@ -24,6 +24,10 @@ def op2_spaced_seeds(spark, sf_dir):
     return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_licences(spark, sf_dir):
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
 def op5_passages(spark, sf_dir):
     return passages.repeated(table(spark, sf_dir, "documents"))
 
@@ -53,6 +57,7 @@ def op10_personal_data(spark, sf_dir):
 QUERIES = {
     "op1_fertility": op1_fertility,
     "op2_spaced_seeds": op2_spaced_seeds,
+    "op4_licences": op4_licences,
     "op5_passages": op5_passages,
     "op6_segmentations": op6_segmentations,
     "op8_secrets": op8_secrets,
