@@ -14,6 +14,8 @@ import pyarrow.compute as pc
 
 #: Texts are worked on in slices of about so many bytes (a longer text is a slice of its own), which bounds memory.
 SLICE_BYTES = 1 << 19
+#: A row counts as so many bytes more.
+ROW_BYTES = 256
 
 _ODD = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
@@ -115,7 +117,7 @@ def slices(batch: pa.RecordBatch, column: str, size: int = SLICE_BYTES) -> Itera
     """The batch in runs of rows of about `size` bytes of text."""
     texts = batch.column(batch.schema.get_field_index(column))
     lengths = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-    cuts = np.flatnonzero(np.diff(np.cumsum(lengths) // size)) + 1
+    cuts = np.flatnonzero(np.diff(np.cumsum(lengths + ROW_BYTES) // size)) + 1
     for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
         if b > a:
             yield batch.slice(a, b - a)
