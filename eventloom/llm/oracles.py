@@ -14,7 +14,7 @@ def jaccard_links(width: int, num: int, den: int, docs: str = "documents") -> st
     tokens as (select doc_id, {words} as w from {docs}),
     shingles as (
         select distinct doc_id, unnest(case
-            when len(w) >= {width} then list_transform(range(1, len(w) - {width - 2}), i -> array_to_string(w[i : i + {width - 1}], ' '))
+            when len(w) >= {width} then list_transform(range(1, len(w) - {width - 2}), lambda i: array_to_string(w[i : i + {width - 1}], ' '))
             when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as s
         from tokens),
     sizes as (select doc_id, count(*) as n from shingles group by all),
@@ -37,4 +37,41 @@ ORACLES = {
         with recursive {jaccard_links(3, 90, 100)}
         select t.doc_id, coalesce(n, 0)::bigint as n_shingles, component_id
         from tokens t left join sizes using (doc_id) join classes using (doc_id)""",
+    "op7_revisits": r"""
+        with split as (
+            select *, regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') as bare from pages),
+        parts as (
+            select *, regexp_replace(lower(regexp_extract(bare, '^[^/?]*')), '^www\.|:(80|443)$', '', 'g')
+                || regexp_replace(regexp_extract(bare, '^[^/?]*([^?]*)', 1), '/+$', '') as place,
+                list_sort(list_filter(string_split(regexp_extract(bare, '\?(.*)$', 1), '&'),
+                    lambda p: p <> '' and not regexp_matches(lower(p), '^(utm_[a-z]+|ref|fbclid|gclid|sessionid)(=|$)'))) as params
+            from split),
+        keyed as (
+            select page_id, html, '"' || md5(html) || '"' as tag,
+                place || case when len(params) > 0 then '?' || array_to_string(params, '&') else '' end as canonical_url,
+                page_id * 600 as seen, page_id * 600 + 300 * (1 + page_id % 4) as later,
+                case when page_id % 7 <> 0 then page_id * 600 - 86400 end as modified
+            from parts),
+        responses as (
+            select page_id * 2 as response_id, canonical_url as key, seen as response_ts, case when page_id % 5 <> 0 then tag end as tag, modified, length(html) as size
+            from keyed),
+        revisits as (
+            select page_id * 2 + 1 as record_id, canonical_url, later as ts,
+                case when page_id % 5 = 0 then null when page_id % 11 = 0 then '"changed"' else tag end as sent,
+                modified + case when page_id % 13 = 0 then 1 else 0 end as dated
+            from keyed),
+        latest as (
+            select r.*, max(struct_pack(t := response_ts, i := response_id)) as l
+            from revisits r left join responses s on s.key = r.canonical_url and (s.response_ts, s.response_id) < (r.ts, r.record_id)
+            group by all),
+        outcomes as (
+            select latest.*, s.*, case
+                when response_id is null then 'no_response'
+                when sent is not null and tag is not null then case when sent = tag then 'resolved' else 'mismatch' end
+                when dated is not null and modified is not null then case when dated = modified then 'resolved' else 'mismatch' end
+                else 'unchecked' end as outcome
+            from latest left join responses s on s.response_id = latest.l.i)
+        select record_id, canonical_url, ts, response_id, response_ts, outcome, case when outcome in ('resolved', 'unchecked') then
+            'cache-control: max-age=120' || chr(10) || 'content-length: ' || size || chr(10) || 'content-type: text/html' || chr(10) || 'date: ' || ts || chr(10) || 'server: a' end as headers
+        from outcomes""",
 }

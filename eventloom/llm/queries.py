@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import decontaminate, fertility, jaccard, lattice, licences, passages, pii, secrets
+from eventloom.llm import decontaminate, fertility, jaccard, lattice, licences, passages, pii, revisits, secrets
 from eventloom.llm.oracles import ORACLES
 
 
@@ -38,6 +38,11 @@ def op6_segmentations(spark, sf_dir):
     return found.select("doc_id", F.inline(samples))
 
 
+def op7_revisits(spark, sf_dir):
+    found = revisits.resolved(revisits.page_records(table(spark, sf_dir, "pages")))
+    return found.withColumn("headers", revisits.header_lines(F.col("headers")))
+
+
 def op8_secrets(spark, sf_dir):
     """A row per secret; the value itself only as a hash."""
     found = secrets.findings(table(spark, sf_dir, "documents"))
@@ -60,6 +65,7 @@ QUERIES = {
     "op4_licences": op4_licences,
     "op5_passages": op5_passages,
     "op6_segmentations": op6_segmentations,
+    "op7_revisits": op7_revisits,
     "op8_secrets": op8_secrets,
     "op9_jaccard": op9_jaccard,
     "op10_personal_data": op10_personal_data,
