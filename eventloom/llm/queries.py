@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import decontaminate, fertility, jaccard, lattice, licences, passages, pii, revisits, secrets
+from eventloom.llm import decontaminate, edits, fertility, jaccard, lattice, licences, passages, pii, revisits, secrets
 from eventloom.llm.oracles import ORACLES
 
 
@@ -24,6 +24,12 @@ def op2_spaced_seeds(spark, sf_dir):
     return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_token_counts(spark, sf_dir):
+    """Token counts of every document before and after the edits of a cleaning pass."""
+    found, m = edits.recounted(table(spark, sf_dir, "documents"), edits.cleaning_edits, keep=["doc_id"])
+    return found.select("doc_id", *[f"{m}.{c}" for c in edits.FOUND.names if c != "tree"])
+
+
 def op4_licences(spark, sf_dir):
     return licences.scan(table(spark, sf_dir, "documents"))
 
@@ -62,6 +68,7 @@ def op10_personal_data(spark, sf_dir):
 QUERIES = {
     "op1_fertility": op1_fertility,
     "op2_spaced_seeds": op2_spaced_seeds,
+    "op3_token_counts": op3_token_counts,
     "op4_licences": op4_licences,
     "op5_passages": op5_passages,
     "op6_segmentations": op6_segmentations,
