@@ -26,7 +26,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +34,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventloom.llm.components import components
-from eventloom.llm.rows import with_found
-from eventloom.llm.stored import stored
+from eventloom.llm.rows import free_name, with_found
+from eventloom.llm.stored import forget, stored
 from eventloom.llm.words import FOLDED_KEYS, Hasher, Texts, keys, mix, windows
 
 #: Points have so many coordinates (the bound on the whole vector); slices have finer groups of their own.
@@ -218,28 +217,51 @@ def _rest(members: DataFrame, roots: DataFrame, classes: DataFrame, join: Join)
 
 
 def linked(docs: DataFrame, id: str = "doc_id", text: str = "text", join: Join = Join()) -> DataFrame:
-    """A row per row of docs: id, n_shingles and component, the smallest id reachable by links, its own included.
+    """A row per row of docs: id, text_key (xxhash64 of the text), n_shingles and component, the smallest id reachable by
+    links, its own included.
 
     A null or empty text has no shingles and is a component of its own, as is a row without id (component null) unless
     its text links with others. Rows with equal ids are told apart by their texts. Other columns play no part."""
-    rows = docs.select(F.col(f"`{id}`").cast("long").alias("_id"), F.col(f"`{text}`").cast("string").alias("_text"))
-    points = stored(with_found(rows, "_text", "_found", POINT, _points(join), ["_id"]).select("_id", "_found.*"))
-    full = points.filter(F.col("n_shingles") > 0)
-    classes = stored(full.groupBy("set").agg(
+    whole = F.col(f"`{text}`").cast("string")
+    rows = docs.select(F.col(f"`{id}`").cast("long").alias("_id"), whole.alias("_text"), F.xxhash64(whole).alias("_key"))
+    found = stored(with_found(rows, "_text", "_found", POINT, _points(join), ["_id", "_key"]).select("_id", "_key", "_found.*"))
+    with_cells = stored(found.filter(F.col("n_shingles") > 0).groupBy("set").agg(
         F.min("n_shingles").alias("n_shingles"), F.min("_id").alias("sample"), F.first("point").alias("point"), F.first("cells").alias("cells")
     ))
-    points_of = classes.drop("cells")
-    cells = classes.select(F.explode("cells").alias("cell"), "set")
+    points = stored(found.select("_id", "_key", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("set")).alias("set")))
+    forget(found)
+    cells = with_cells.select(F.explode("cells").alias("cell"), "set")
     leaders = cells.groupBy("cell").agg(F.min("set").alias("leader"), F.max("set").alias("last")).filter("leader < last").drop("last")
     members = stored(cells.join(leaders, "cell"))
+    classes = stored(with_cells.drop("cells"))
+    forget(with_cells)
     to_leader = members.filter(F.col("set") != F.col("leader")).select(F.col("leader").alias("a"), F.col("set").alias("b")).distinct()
-    first = stored(_verified(stored(_bounded(to_leader, points_of, join)), points_of, rows, join))
-    rest = stored(_bounded(_rest(members, components(first), points_of, join), points_of, join))
-    links = [first] if rest.isEmpty() else [first, stored(_verified(rest, points_of, rows, join))]
-    all_links = reduce(DataFrame.unionByName, links)
-    roots = components(all_links)
-    rooted = points_of.join(roots, F.col("set") == F.col("node"), "left").select("set", "sample", F.coalesce("root", "set").alias("root"))
+    first = stored(_verified(stored(_bounded(to_leader, classes, join)), classes, rows, join))
+    rest = stored(_bounded(_rest(members, components(first), classes, join), classes, join))
+    forget(members)
+    links = first if rest.isEmpty() else first.unionByName(stored(_verified(rest, classes, rows, join)))
+    roots = components(links)
+    rooted = classes.join(roots, F.col("set") == F.col("node"), "left").select("set", "sample", F.coalesce("root", "set").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("sample").alias("component"))
     of_class = rooted.join(smallest, "root").select("set", "component")
-    found = points.select("_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("set")).alias("set")).join(of_class, "set", "left")
-    return found.select(F.col("_id").alias(id), "n_shingles", F.coalesce("component", "_id").alias("component"))
+    return points.join(of_class, "set", "left").select(
+        F.col("_id").alias(id), F.col("_key").alias("text_key"), "n_shingles", F.coalesce("component", "_id").alias("component")
+    )
+
+
+def representatives(docs: DataFrame, id: str = "doc_id", text: str = "text", join: Join = Join()) -> DataFrame:
+    """The rows of docs without near duplicates, with their columns: of each component the row of its smallest id stays,
+    once. Texts without shingles stay, as do rows without id that link with no id."""
+    key, other_id, other_key = (free_name(docs.columns, c) for c in ("_text_key", "_other_id", "_other_key"))
+    found = stored(linked(docs, id, text, join)).filter(F.col("n_shingles") > 0)
+    copies = found.filter(F.col("component").isNotNull() & ~F.col("component").eqNullSafe(F.col(id)))
+    again = found.filter(F.col(id).eqNullSafe(F.col("component")) & F.col(id).isNotNull()).groupBy(id, "text_key").count().filter("count > 1")
+    keyed = docs.withColumn(key, F.xxhash64(F.col(f"`{text}`").cast("string")))
+    named = lambda t: stored(t.select(F.col(id).alias(other_id), F.col("text_key").alias(other_key)).distinct())
+    same = keyed[f"`{id}`"].cast("long").eqNullSafe(F.col(other_id)) & (F.col(key) == F.col(other_key))
+    kept = keyed.join(named(copies), same, "left_anti")
+    repeats = named(again)
+    if not repeats.isEmpty():
+        same = F.col(f"`{id}`").cast("long").eqNullSafe(F.col(other_id)) & (F.col(key) == F.col(other_key))
+        kept = kept.join(repeats, same, "left_anti").unionByName(kept.join(repeats, same, "left_semi").dropDuplicates([id, key]))
+    return kept.drop(key)

@@ -57,7 +57,8 @@ def op8_secrets(spark, sf_dir):
 
 def op9_jaccard(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return jaccard.linked(docs, join=jaccard.Join(width=3, num=90, den=100)).withColumnRenamed("component", "component_id")
+    found = jaccard.linked(docs, join=jaccard.Join(width=3, num=90, den=100))
+    return found.select("doc_id", "n_shingles", F.col("component").alias("component_id"))
 
 
 def op10_personal_data(spark, sf_dir):

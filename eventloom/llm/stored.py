@@ -20,18 +20,42 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{folder.rstrip('/')}/{sc.applicationId}"
 
 
+class Scratch:
+    """A sub-folder for what `stored` writes while the scratch is entered, so that it can be removed as a whole once the
+    results that read it have been written. Without one, the application's sub-folder is used and stays until that is
+    removed."""
+
+    _entered: list[Scratch] = []
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.path = spark, f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+
+    def __enter__(self) -> Scratch:
+        self._entered.append(self)
+        return self
+
+    def __exit__(self, *error) -> None:
+        self._entered.remove(self)
+
+    def remove(self) -> None:
+        _delete(self.spark, self.path)
+
+
 def stored(df: DataFrame) -> DataFrame:
     """df written once as Parquet to the shared folder and read from there, so that nothing is computed twice and a
-    lost executor costs no recomputation. The files stay until the application's sub-folder is removed (a returned
-    DataFrame may read them at any later time)."""
-    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    lost executor costs no recomputation."""
+    folder = Scratch._entered[-1].path if Scratch._entered else shared_folder(df.sparkSession)
+    path = f"{folder}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def forget(df: DataFrame) -> None:
     """Removes the files of a stored table that nothing reads any more."""
-    spark = df.sparkSession
     for file in df.inputFiles()[:1]:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(file.rsplit("/", 1)[0])
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(df.sparkSession, file.rsplit("/", 1)[0])
