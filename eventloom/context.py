@@ -96,10 +96,6 @@ class Ctx:
     def ago(self, days: int) -> date:
         return self.as_of - timedelta(days=days)
 
-    @property
-    def tomorrow(self) -> date:
-        return self.as_of + timedelta(days=1)
-
     @property
     def periods(self) -> tuple[Period, ...]:
         return standard_periods(self.as_of)

@@ -19,14 +19,29 @@ def percent(part: Column, whole: Column) -> Column:
     return ratio(part, whole) * F.lit(100.0)
 
 
-def exact_sum(value: Column, scale: int = 6) -> Column:
-    """Sum of doubles that does not depend on the order tasks finish in; no rows give 0."""
-    return F.coalesce(F.sum(value.cast(f"decimal(38,{scale})")).cast("double"), F.lit(0.0))
+# Doubles are summed as decimals, by size: (below, type). A type holds all 17 digits of its values; below 1e8 it
+# holds 20 decimals, and what is smaller than the last of them is below any amount of money or average of counts.
+SIZES = ((1e8, "decimal(28,20)"), (1e26, "decimal(38,10)"), (1e37, "decimal(38,0)"))
 
 
-def exact_avg(value: Column, scale: int = 9) -> Column:
+def exact_sum(value: Column) -> Column:
+    """Sum of doubles that does not depend on the order tasks finish in; no rows give 0.
+
+    NaN, infinities and values from 1e37 on are no amounts: they raise."""
+    parts, least = [], 0.0
+    for below, kind in SIZES:
+        inside = (F.abs(value) >= least) & (F.abs(value) < below)
+        parts.append(F.coalesce(F.sum(F.when(inside, value.cast(kind))).cast("double"), F.lit(0.0)))
+        least = below
+    fits = F.abs(value) < SIZES[-1][0]
+    message = F.concat(F.lit("a number to be summed is not finite or too large: "), value.cast("string"))
+    checked = F.coalesce(F.sum(F.when(~fits, F.raise_error(message).cast("double"))), F.lit(0.0))
+    return parts[0] + parts[1] + parts[2] + checked
+
+
+def exact_avg(value: Column) -> Column:
     """Average of doubles that does not depend on the order tasks finish in."""
-    return F.sum(value.cast(f"decimal(28,{scale})")).cast("double") / F.count(value)
+    return F.when(F.count(value) > 0, exact_sum(value) / F.count(value))
 
 
 def percent_text(part: Column, whole: Column) -> Column:

@@ -8,16 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SECOND = 1_000_000
-
-# A key below HOT_ROWS is ordered inside one task. Above it the key is cut into pieces, for at most
-# MAX_HOT keys: that bounds the broadcast, and a key ranked lower holds under 1/MAX_HOT of all rows.
-HOT_ROWS = 1_000_000
-MAX_HOT = 50_000
-
-
-def largest_keys(counts: DataFrame, keys: Sequence[str], rows: int = HOT_ROWS, at_most: int = MAX_HOT) -> DataFrame:
-    """The largest keys of `counts(keys, n)` above `rows`; ties end at the same key on every run."""
-    return counts.filter(F.col("n") > rows).orderBy(F.desc("n"), *keys).limit(at_most)
+#: Every key is cut into slices of so much time.
+SLICE = 60 * SECOND
 
 
 def running(
@@ -28,31 +20,21 @@ def running(
     values: Sequence[str],
     fold: Callable[[Column], Column],
     merge: Callable[[Column, Column], Column],
-    hot_rows: int = HOT_ROWS,
+    slice_micros: int = SLICE,
 ) -> DataFrame:
     """Running `fold` (sum, max, ...) of `values` per key in `order`, as `running_<value>`.
 
-    Small keys take one window. A hot key is cut into slices of one second of `at` (micros): each
-    slice is folded on its own and the fold of all earlier slices, one row per slice, is merged in.
-    `rows` must be unique on `keys + order`, so that a slice has a bounded number of rows whatever
-    its key weighs. `merge(carried, here)` sees NULL for an absent part.
+    Every key is cut into slices of `at` (micros): each slice is folded on its own, and the fold of
+    all earlier slices, one row per slice, is merged in. `rows` must be unique on `keys + order`, so a
+    slice has a bounded number of rows whatever its key weighs. Both steps share one shuffle.
+    `merge(carried, here)` sees NULL for an absent part; rows without a key are carried nothing.
     """
-    # Counting through a value column keeps this branch identical to the others up to the
-    # shuffle that made `rows`, so Spark reuses that shuffle instead of scanning again.
-    size = sum((F.count_if(F.col(v).isNull()) + F.count(F.col(v)) for v in values), F.lit(0)) / len(values)
-    hot = largest_keys(rows.groupBy(*keys).agg(size.alias("n")), keys, hot_rows).select(*keys, F.lit(True).alias("hot"))
-    second = F.floor(F.col(at) / SECOND).cast("long")
-
-    sliced = rows.join(F.broadcast(hot), list(keys), "left").select(
-        *rows.columns, F.when(F.col("hot"), second).otherwise(F.lit(-1).cast("long")).alias("slice")
-    )
+    sliced = rows.withColumn("slice", F.floor(F.col(at) / slice_micros).cast("long"))
     within = Window.partitionBy(*keys, "slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     folded = sliced.select("*", *[fold(F.col(v)).over(within).alias(f"here_{v}") for v in values])
-
     earlier = Window.partitionBy(*keys).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     carry = (
-        rows.join(F.broadcast(hot), list(keys))
-        .groupBy(*keys, second.alias("slice"))
+        sliced.groupBy(*keys, "slice")
         .agg(*[fold(F.col(v)).alias(v) for v in values])
         .select(*keys, "slice", *[fold(F.col(v)).over(earlier).alias(f"carried_{v}") for v in values])
     )

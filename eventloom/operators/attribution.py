@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from eventloom.context import Ctx
 from eventloom.functions.numbers import count_where, ratio
 from eventloom.functions.params import int_param, string_param
-from eventloom.functions.skew import HOT_ROWS, SECOND, running
+from eventloom.functions.skew import SECOND, SLICE, running
 from eventloom.functions.tables import literal_table
 from eventloom.operators.segments import USER
 from eventloom.sources.events import unified
@@ -25,16 +25,15 @@ def interval_counts(
     follow: Column,
     flag: Column,
     within: int = TEN_MINUTES,
-    hot_rows: int = HOT_ROWS,
+    slice_micros: int = SLICE,
 ) -> DataFrame:
     """Per (user, time) of an anchor: anchors, and follow-ups in [t, t + within] of the same user.
 
     No pairs are formed. The follow-ups inside a window are the difference of two running counts,
-    one taken just before t and one just after t + within.
+    one taken just before t and one just after t + within. An anchor without a user has no follow-ups.
     """
     at_once = (
-        events.filter(F.col(USER).isNotNull())
-        .groupBy(USER, "event_timestamp")
+        events.groupBy(USER, "event_timestamp")
         .agg(
             count_where(anchor).alias("anchors"),
             count_where(follow).alias("follows"),
@@ -65,16 +64,14 @@ def interval_counts(
         return F.coalesce(carried, F.lit(0)) + F.coalesce(here, F.lit(0))
 
     counted = running(
-        timeline, [USER], "at", ["at", "phase"], ["follows", "flagged"], F.sum, add, hot_rows
+        timeline, [USER], "at", ["at", "phase"], ["follows", "flagged"], F.sum, add, slice_micros
     )
+    known = F.col(USER).isNotNull()
+    signed = lambda v: F.sum(F.when(known, F.col("sign") * F.col(v)).otherwise(F.lit(0)))
     return (
         counted.filter(F.col("sign") != 0)
         .groupBy(USER, "anchor_ts")
-        .agg(
-            F.max("anchors").alias("anchors"),
-            F.sum(F.col("sign") * F.col("running_follows")).alias("follows"),
-            F.sum(F.col("sign") * F.col("running_flagged")).alias("flagged"),
-        )
+        .agg(F.max("anchors").alias("anchors"), signed("running_follows").alias("follows"), signed("running_flagged").alias("flagged"))
     )
 
 
@@ -89,8 +86,8 @@ def _speech_events(ctx: Ctx, days: int) -> DataFrame:
     )
 
 
-def interval_pairs(ctx: Ctx, days: int = 7, within: int = TEN_MINUTES, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Save times with the (save, speech) pairs that start there: all, from the feature, from elsewhere."""
+def _save_pairs(ctx: Ctx, days: int, within: int, slice_micros: int) -> DataFrame:
+    """`interval_pairs`, also of saves without a user, which have none."""
     name = F.col("event_name")
     counts = interval_counts(
         _speech_events(ctx, days),
@@ -98,7 +95,7 @@ def interval_pairs(ctx: Ctx, days: int = 7, within: int = TEN_MINUTES, hot_rows:
         name == ctx.roles.tts,
         F.col("from_path") == ctx.roles.tts_feature_path,
         within,
-        hot_rows,
+        slice_micros,
     )
     saves = F.col("anchors")
     return counts.select(
@@ -111,12 +108,18 @@ def interval_pairs(ctx: Ctx, days: int = 7, within: int = TEN_MINUTES, hot_rows:
     )
 
 
-def tts_adoption(ctx: Ctx, days: int = 7, within: int = TEN_MINUTES, hot_rows: int = HOT_ROWS) -> DataFrame:
+def interval_pairs(ctx: Ctx, days: int = 7, within: int = TEN_MINUTES, slice_micros: int = SLICE) -> DataFrame:
+    """Save times with the (save, speech) pairs that start there: all, from the feature, from elsewhere."""
+    return _save_pairs(ctx, days, within, slice_micros).filter(F.col(USER).isNotNull())
+
+
+def tts_adoption(ctx: Ctx, days: int = 7, within: int = TEN_MINUTES, slice_micros: int = SLICE) -> DataFrame:
     """How many saves are followed by speech within the interval, and by speech from the feature.
 
     A save is followed or not once per (user, time); a speech inside two windows counts in both pairs.
+    Saves without a user belong to no window but do count as saves.
     """
-    per_save = interval_pairs(ctx, days, within, hot_rows).select(
+    per_save = _save_pairs(ctx, days, within, slice_micros).select(
         "saves",
         (F.col("pairs") > 0).cast("long").alias("any"),
         (F.col("feature_pairs") > 0).cast("long").alias("own"),
@@ -124,20 +127,14 @@ def tts_adoption(ctx: Ctx, days: int = 7, within: int = TEN_MINUTES, hot_rows: i
         "feature_pairs",
         "switch_pairs",
     )
-    # Saves without a user belong to no window but do count as saves.
-    anonymous = (
-        _speech_events(ctx, days)
-        .filter(F.col(USER).isNull() & (F.col("event_name") == ctx.roles.save))
-        .agg(F.count(F.lit(1)).alias("saves"))
-        .select("saves", *[F.lit(0).cast("long").alias(c) for c in per_save.columns[1:]])
-    )
-    sums = per_save.unionByName(anonymous).agg(
-        F.sum("saves").alias("total_saves"),
-        F.sum("any").alias("saves_with_tts"),
-        F.sum("own").alias("saves_with_feature_tts"),
-        F.sum("pairs").alias("tts_pairs"),
-        F.sum("feature_pairs").alias("feature_tts_pairs"),
-        F.sum("switch_pairs").alias("switch_tts_pairs"),
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0))
+    sums = per_save.agg(
+        total("saves").alias("total_saves"),
+        total("any").alias("saves_with_tts"),
+        total("own").alias("saves_with_feature_tts"),
+        total("pairs").alias("tts_pairs"),
+        total("feature_pairs").alias("feature_tts_pairs"),
+        total("switch_pairs").alias("switch_tts_pairs"),
     )
     return sums.withColumn("adoption_rate", ratio(F.col("saves_with_tts"), F.col("total_saves"))).withColumn(
         "feature_usage_rate", ratio(F.col("saves_with_feature_tts"), F.col("saves_with_tts"))
@@ -151,7 +148,7 @@ def asof_attribution(
     label: Column,
     keys: Sequence[str],
     at: str = "event_timestamp",
-    hot_rows: int = HOT_ROWS,
+    slice_micros: int = SLICE,
 ) -> DataFrame:
     """Distinct outcomes (keys, time) with the label of the last cause at or before them.
 
@@ -178,7 +175,7 @@ def asof_attribution(
     def later(carried, here):
         return F.coalesce(here, carried)
 
-    last = running(steps, keys, at, [at, "kind", "label"], ["cause"], F.max, later, hot_rows)
+    last = running(steps, keys, at, [at, "kind", "label"], ["cause"], F.max, later, slice_micros)
     return last.filter((F.col("kind") == is_outcome) & F.col("running_cause").isNotNull()).select(
         *keys, F.col(at).alias("outcome_ts"), "running_cause.cause_ts", "running_cause.label"
     )
@@ -199,7 +196,7 @@ def _template_events(ctx: Ctx, days: int) -> DataFrame:
     )
 
 
-def template_attribution(ctx: Ctx, days: int = 7, hot_rows: int = HOT_ROWS) -> DataFrame:
+def template_attribution(ctx: Ctx, days: int = 7, slice_micros: int = SLICE) -> DataFrame:
     """Saves with the last template clicked before them in the same session."""
     name = F.col("event_name")
     events = _template_events(ctx, days).filter(name.isin(ctx.roles.template_click, ctx.roles.save))
@@ -209,7 +206,7 @@ def template_attribution(ctx: Ctx, days: int = 7, hot_rows: int = HOT_ROWS) -> D
         name == ctx.roles.template_click,
         F.col("template_id"),
         [USER, "session_id"],
-        hot_rows=hot_rows,
+        slice_micros=slice_micros,
     ).select(
         USER,
         "session_id",
@@ -219,7 +216,7 @@ def template_attribution(ctx: Ctx, days: int = 7, hot_rows: int = HOT_ROWS) -> D
     )
 
 
-def template_funnel(ctx: Ctx, days: int = 7, hot_rows: int = HOT_ROWS) -> DataFrame:
+def template_funnel(ctx: Ctx, days: int = 7, slice_micros: int = SLICE) -> DataFrame:
     """Per clicked template: clicks, clicking users, attributed saves; exposures and saves overall."""
     roles = ctx.roles
     name = F.col("event_name")
@@ -232,15 +229,14 @@ def template_funnel(ctx: Ctx, days: int = 7, hot_rows: int = HOT_ROWS) -> DataFr
     sizes = per_user.groupBy("event_name", "template_id").agg(
         F.sum("n").alias("clicks"), F.count(USER).alias("click_users")
     )
-    everything = Window.partitionBy(F.lit(1))  # a row per template and two more
 
     def overall(event):
-        return F.coalesce(F.sum(F.when(name == event, F.col("clicks"))).over(everything), F.lit(0))
+        return sizes.filter(name == event).agg(F.coalesce(F.sum("clicks"), F.lit(0))).scalar()
 
-    clicks = sizes.select(
+    clicks = sizes.filter(clicked).select(
         "*", overall(roles.exposure).alias("exposure_count"), overall(roles.save).alias("total_saves")
-    ).filter(clicked)
-    saves = template_attribution(ctx, days, hot_rows).groupBy("template_id").agg(F.count(F.lit(1)).alias("saves"))
+    )
+    saves = template_attribution(ctx, days, slice_micros).groupBy("template_id").agg(F.count(F.lit(1)).alias("saves"))
     return (
         clicks.join(saves, "template_id", "left")
         .select(

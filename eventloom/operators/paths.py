@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from eventloom.context import Ctx
 from eventloom.functions.numbers import count_where, percent
-from eventloom.functions.skew import HOT_ROWS, SECOND, largest_keys
+from eventloom.functions.skew import SECOND
 from eventloom.functions.tables import literal_table
 from eventloom.operators.segments import USER
 from eventloom.sources.events import unified
@@ -21,28 +21,23 @@ def _events(ctx: Ctx, days: int) -> DataFrame:
     return unified(ctx.daily, ctx.intraday, ctx.ago(days), ctx.as_of).select(USER, "event_name", "event_timestamp")
 
 
-def _first_exposures(ctx: Ctx, events: DataFrame) -> DataFrame:
-    """Exposed users who never generate: number of rows and time of the first exposure."""
+def non_converters(ctx: Ctx, days: int = 14) -> DataFrame:
+    """Users exposed but never generating, with their first exposure; one aggregate instead of an anti join."""
     name = F.col("event_name")
     return (
-        events.groupBy(USER)
+        _events(ctx, days)
+        .filter(name.isin(ctx.roles.exposure, ctx.roles.generate))
+        .groupBy(USER)
         .agg(
-            F.count(F.lit(1)).alias("n"),
             F.min(F.when(name == ctx.roles.exposure, F.col("event_timestamp"))).alias("exposure_ts"),
             count_where(name == ctx.roles.generate).alias("generates"),
         )
         # A missing user id matches no generating user.
         .filter(F.col("exposure_ts").isNotNull() & ((F.col("generates") == 0) | F.col(USER).isNull()))
-        .select(USER, "n", "exposure_ts")
+        .select(USER, "exposure_ts")
     )
 
 
-def non_converters(ctx: Ctx, days: int = 14) -> DataFrame:
-    """Users exposed but never generating, with their first exposure; one aggregate instead of an anti join."""
-    wanted = F.col("event_name").isin(ctx.roles.exposure, ctx.roles.generate)
-    return _first_exposures(ctx, _events(ctx, days).filter(wanted)).select(USER, "exposure_ts")
-
-
 def exposure_totals(ctx: Ctx, days: int = 14) -> DataFrame:
     """Distinct exposed and distinct generating users and their difference.
 
@@ -72,34 +67,35 @@ def path_steps(
     after: int = SECOND,
     within: int = 1800 * SECOND,
     days: int = 14,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """First `n` counted events of every non-converter in (first exposure + after, + within].
 
-    A user with more than `hot_rows` rows is spread over several join partitions by event time; each
-    keeps its first `n` before they meet, so no task sees all rows of such a user.
+    Time is cut into buckets as long as `within`: a user's band lies in two of them, so the join by user
+    and bucket meets only events near the band, and a user with very many events is many small keys.
+    Each bucket passes on its first `n`.
     """
     roles = ctx.roles
     name = F.col("event_name")
-    events = _events(ctx, days)
-    anchors = _first_exposures(ctx, events).filter(F.col(USER).isNotNull())
-    hot = largest_keys(anchors, [USER], hot_rows).select(USER, F.ceil(F.col("n") / hot_rows).cast("int").alias("parts"))
-    parts = F.coalesce("parts", F.lit(1))
-    spread = (
-        anchors.join(F.broadcast(hot), USER, "left")
-        .select(USER, "exposure_ts", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
+    t = F.col("event_timestamp")
+    first = F.floor((F.col("exposure_ts") + after) / within)
+    last = F.floor((F.col("exposure_ts") + within) / within)
+    anchors = (
+        non_converters(ctx, days)
+        .filter(F.col(USER).isNotNull())
+        .select(USER, "exposure_ts", F.explode(F.sequence(first, last)).alias("bucket"))
     )
     counted = (
-        events.filter(~name.isin(*roles.path_excluded))
+        _events(ctx, days)
+        .filter(~name.isin(*roles.path_excluded))
         .filter(~name.endswith(roles.path_excluded_suffix) | (name == roles.path_kept))
-        .join(F.broadcast(hot), USER, "left")
-        .withColumn("part", F.pmod(F.xxhash64("event_timestamp"), parts.cast("long")).cast("int"))
-        .drop("parts")
+        .withColumn("bucket", F.floor(t / within))
     )
-    since = F.col("event_timestamp") - F.col("exposure_ts")
-    band = counted.join(spread, [USER, "part"]).filter((since > after) & (since <= within))
+    since = t - F.col("exposure_ts")
+    band = counted.join(anchors, [USER, "bucket"]).filter((since > after) & (since <= within))
+    in_bucket = F.row_number().over(Window.partitionBy(USER, "bucket").orderBy("event_timestamp", "event_name"))
+    near = band.select(USER, "event_name", "event_timestamp", in_bucket.alias("place")).filter(F.col("place") <= n)
     step = F.row_number().over(Window.partitionBy(USER).orderBy("event_timestamp", "event_name"))
-    return band.select(USER, step.alias("step"), "event_name", "event_timestamp").filter(F.col("step") <= n)
+    return near.select(USER, step.alias("step"), "event_name", "event_timestamp").filter(F.col("step") <= n)
 
 
 def path_counts(steps: DataFrame) -> DataFrame:

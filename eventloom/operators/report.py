@@ -47,15 +47,18 @@ def daily_funnel(ctx: Ctx, day: date) -> DataFrame:
 def _report_counts(ctx: Ctx, days: dict[str, date], history_days: int) -> DataFrame:
     """One row: the steps of each day, for everybody and for users with a generate in the window.
 
+    The days may lie outside the window; the scan covers both.
     One pass and one shuffle by user; both groups of users and all days are columns of it.
     """
     steps = funnel_steps(ctx)
+    since = ctx.ago(history_days)
+    in_window = reduce(and_, between_days(since, ctx.as_of))
     per_user = (
-        ctx.intraday.scan(ctx.ago(history_days), ctx.as_of)
+        ctx.intraday.scan(min(since, *days.values()), max(ctx.as_of, *[day + timedelta(days=1) for day in days.values()]))
         .filter(_wanted(ctx))
         .groupBy(USER)
         .agg(
-            count_where(F.col("event_name") == ctx.roles.generate).alias("generates"),
+            count_where((F.col("event_name") == ctx.roles.generate) & in_window).alias("generates"),
             *[
                 count_where(F.col("event_name").isin(*events) & _on(day)).alias(f"{name}_{step}")
                 for name, day in days.items()
@@ -72,7 +75,7 @@ def _report_counts(ctx: Ctx, days: dict[str, date], history_days: int) -> DataFr
 
 
 def history_funnel(ctx: Ctx, day: date, history_days: int = 14) -> DataFrame:
-    """`daily_funnel` of users with a generate in the window, which includes the day itself."""
+    """`daily_funnel` of users with a generate in the window of `history_days` before `as_of`."""
     counts = _report_counts(ctx, {"day": day}, history_days)
     return counts.select(
         F.lit(day_text(day)).alias("event_date"), *[F.col(f"history_day_{s}").alias(s) for s in funnel_steps(ctx)]

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.functions.numbers import ratio
+from eventloom.functions.numbers import count_where, exact_sum, ratio
 from eventloom.vocab import BASE_EMOTIONS, PRESET_TAGS, RATE_BANDS, TAG_PATTERN
 
 
@@ -54,7 +54,9 @@ def tag_usage(
 
 
 def tag_weights(products: DataFrame, presets: Sequence[str] = PRESET_TAGS) -> DataFrame:
-    """Base emotions mixed into each text tag: occurrences, weight and share of the tag's weight."""
+    """Base emotions mixed into each text tag: occurrences, weight and share of the tag's weight.
+
+    A part without a readable weight adds nothing to them and is counted as unreadable."""
     parts = (
         _tags(products)
         .filter(~_is_emoji(F.col("head")) & F.col("head").isin(*presets))
@@ -62,14 +64,18 @@ def tag_weights(products: DataFrame, presets: Sequence[str] = PRESET_TAGS) -> Da
         .select(
             "tag",
             F.trim(F.split_part("part", F.lit(":"), F.lit(1))).alias("emotion"),
-            F.split_part("part", F.lit(":"), F.lit(2)).try_cast("long").alias("weight"),
+            F.split_part("part", F.lit(":"), F.lit(2)).try_cast("double").alias("weight"),
         )
-        .filter(F.col("weight").isNotNull())
     )
-    mixed = parts.groupBy("tag", "emotion").agg(F.count(F.lit(1)).alias("occurrences"), F.sum("weight").alias("weight"))
-    totals = mixed.groupBy("tag").agg(F.sum("weight").alias("tag_weight"))
+    readable = F.abs("weight") < 1e37
+    mixed = parts.groupBy("tag", "emotion").agg(
+        count_where(readable).alias("occurrences"),
+        exact_sum(F.when(readable, F.col("weight"))).alias("weight"),
+        count_where(~F.coalesce(readable, F.lit(False))).alias("unreadable"),
+    )
+    totals = mixed.groupBy("tag").agg(exact_sum(F.col("weight")).alias("tag_weight"))
     return mixed.join(totals, "tag").select(
-        "tag", "emotion", "occurrences", "weight", ratio(F.col("weight"), F.col("tag_weight")).alias("share")
+        "tag", "emotion", "occurrences", "weight", ratio(F.col("weight"), F.col("tag_weight")).alias("share"), "unreadable"
     )
 
 

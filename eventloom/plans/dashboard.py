@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -16,6 +16,10 @@ from eventloom.operators.segments import run_sections
 from eventloom.vocab import EVENT_LABELS, LANGUAGES, TEMPLATE_LANG, TEMPLATE_PREFIX
 
 
+#: No section looks further back.
+DAYS = 30
+
+
 @dataclass(frozen=True)
 class Tables:
     """Lookup tables and windows the dashboard takes beside the context."""
@@ -31,9 +35,11 @@ class Tables:
 def dashboard(ctx: Ctx, tables: Tables = Tables()) -> dict[str, DataFrame]:
     """All sections by name, as the dashboard rounds them.
 
+    Which days are finalised is listed once, so all sections follow one snapshot.
     What one pass over the intraday events can count is counted in one pass. Results several sections
     read (totals per tier, tiers, trend, templates, path counts) are stored once; the rest is lazy.
     """
+    ctx = replace(ctx, daily=ctx.daily.pin(ctx.ago(DAYS), ctx.as_of))
     shared_sections = {
         "funnel": counts.event_counts_section(ctx.roles.funnel, ctx.periods),
         "prompt_overlap": counts.prompt_overlap_section(ctx),
@@ -62,6 +68,7 @@ def dashboard(ctx: Ctx, tables: Tables = Tables()) -> dict[str, DataFrame]:
         "voice_ownership": ownership.voice_ownership_delta(ctx),
         "tts_adoption": attribution.tts_adoption(ctx, within=tables.adoption_within),
         "exposure_totals": paths.exposure_totals(ctx),
+        "path_users": flow.agg(F.coalesce(F.sum("user_count"), F.lit(0)).alias("non_gen_with_events")),
         "path_tree": paths.path_tree(flow, dict(tables.labels)),
         "template_language": attribution.template_language(
             templates, dict(tables.template_languages), tables.languages
@@ -161,7 +168,7 @@ def document(sections: Mapping[str, DataFrame], updated: datetime) -> DataFrame:
     """
     parts = None
     for section, df in sections.items():
-        records = F.to_json(F.sort_array(F.collect_list(F.struct(*df.columns))))
+        records = F.to_json(F.sort_array(F.collect_list(F.struct(*df.columns))), {"ignoreNullFields": "false"})
         part = df.agg(F.concat(F.lit(f'"{section}":'), records).alias("part"))
         parts = part if parts is None else parts.unionByName(part)
     body = F.array_join(F.sort_array(F.collect_list("part")), ",")
@@ -170,7 +177,10 @@ def document(sections: Mapping[str, DataFrame], updated: datetime) -> DataFrame:
 
 
 def write_dashboard(sections: Mapping[str, DataFrame], path: str, updated: datetime) -> None:
-    """Each section as Parquet under `path/<section>` and the document as text under `path/document`."""
+    """Each section as Parquet under `path/<section>` and the document, made from these files, as text under
+    `path/document`."""
+    written = {}
     for section, df in sections.items():
         df.write.mode("overwrite").parquet(f"{path}/{section}")
-    document(sections, updated).write.mode("overwrite").text(f"{path}/document")
+        written[section] = df.sparkSession.read.schema(df.schema).parquet(f"{path}/{section}")
+    document(written, updated).write.mode("overwrite").text(f"{path}/document")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, replace
 from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,7 +43,7 @@ class EventSource:
     df: DataFrame
     between: Callable[[date | None, date | None], list[Column]] = between_days
     table: str | None = None
-    _listed: dict = field(default_factory=dict, compare=False, repr=False)
+    pinned: tuple[date, date, frozenset[str]] | None = None
 
     def scan(self, lo: date | None = None, hi: date | None = None) -> DataFrame:
         """Events of the days [lo, hi)."""
@@ -53,20 +53,27 @@ class EventSource:
         return df.select(*EVENTS.names)
 
     def days(self, lo: date, hi: date) -> DataFrame:
-        """Days with at least one event of any name; reads the catalog or the partition column only."""
-        if self.table is None:
-            return self.scan(lo, hi).select("event_date").distinct()
-        partitions = self.df.sparkSession.sql(f"show partitions {self.table}")
-        days = partitions.select(F.regexp_extract("partition", r"event_date=(\d{8})", 1).alias("event_date"))
-        for bound in between_days(lo, hi):
-            days = days.filter(bound)
-        return days.distinct()
+        """Days with at least one event of any name; reads the partition column only.
+
+        A catalog may list partitions that hold no row, so it only narrows down which days are looked at."""
+        found = self.scan(lo, hi)
+        if self.table is not None:
+            partitions = self.df.sparkSession.sql(f"show partitions {self.table}")
+            days = partitions.select(F.regexp_extract("partition", r"event_date=(\d{8})", 1).alias("event_date"))
+            for bound in between_days(lo, hi):
+                days = days.filter(bound)
+            found = found.filter(F.col("event_date").isin([r["event_date"] for r in days.distinct().collect()]))
+        return found.select("event_date").distinct()
 
     def listed_days(self, lo: date, hi: date) -> frozenset[str]:
-        """`days` on the driver, at most one per day of the range; looked up once per range."""
-        if (lo, hi) not in self._listed:
-            self._listed[lo, hi] = frozenset(row["event_date"] for row in self.days(lo, hi).collect())
-        return self._listed[lo, hi]
+        """`days` on the driver, at most one per day of the range; as of now, or of the pinned snapshot."""
+        if self.pinned is not None and self.pinned[0] <= lo and hi <= self.pinned[1]:
+            return frozenset(d for d in self.pinned[2] if day_text(lo) <= d < day_text(hi))
+        return frozenset(row["event_date"] for row in self.days(lo, hi).collect())
+
+    def pin(self, lo: date, hi: date) -> EventSource:
+        """This source with the days of [lo, hi) listed once, for several results that must agree."""
+        return replace(self, pinned=(lo, hi, self.listed_days(lo, hi)))
 
 
 def read_events(spark: SparkSession, path: str) -> EventSource:
@@ -88,13 +95,13 @@ def unified(
     because the days are looked up before any event filter. `include_today` lets intraday reach one
     day further than the finalised range.
 
-    The days still open become literals, so the intraday scan lists just their partitions and the
-    union needs no join.
+    The days are listed once per call. Both sides are then scanned for literal days only, so no day
+    comes from both, whatever is finalised between planning and running, and the union needs no join.
     """
     last = hi + timedelta(days=1) if include_today else hi
     finalised = daily.listed_days(lo, hi)
     open_days = [day for day in each_day(lo, last) if day_text(day) not in finalised]
-    events = daily.scan(lo, hi)
+    events = daily.scan(lo, hi).filter(F.col("event_date").isin(*sorted(finalised)) if finalised else F.lit(False))
     if not open_days:
         return events
     provisional = intraday.scan(open_days[0], open_days[-1] + timedelta(days=1))

@@ -175,13 +175,13 @@ def test_interval_ends_are_inside(context):
     assert (got["tts_pairs"], got["feature_tts_pairs"], got["switch_tts_pairs"]) == (2, 1, 1)
 
 
-@pytest.mark.parametrize("hot_rows", [1, 1_000_000])
-def test_interval_pairs_multiply_but_saves_are_distinct(context, hot_rows):
+@pytest.mark.parametrize("slice_micros", [1, SECOND, 60 * SECOND])
+def test_interval_pairs_multiply_but_saves_are_distinct(context, slice_micros):
     at = micros(28)
     ctx = context([event("u", "save", at)] * 2 + [event("u", "save", at + MINUTE)]
                   + [event("u", "tts", at + MINUTE)] * 3
                   + [event(None, "save", at), event(None, "tts", at)])
-    got = one(attribution.tts_adoption(ctx, hot_rows=hot_rows))
+    got = one(attribution.tts_adoption(ctx, slice_micros=slice_micros))
     assert (got["total_saves"], got["saves_with_tts"], got["tts_pairs"]) == (4, 2, 9)
 
 
@@ -189,8 +189,8 @@ def attributed(ctx, **more):
     return rows(attribution.template_attribution(ctx, **more), "user_pseudo_id", "template_id")
 
 
-@pytest.mark.parametrize("hot_rows", [1, 1_000_000])
-def test_attribution_edges(context, hot_rows):
+@pytest.mark.parametrize("slice_micros", [1, SECOND, 60 * SECOND])
+def test_attribution_edges(context, slice_micros):
     at = micros(28)
 
     def click(user, when, template, session=1):
@@ -211,11 +211,11 @@ def test_attribution_edges(context, hot_rows):
         click(None, at - SECOND, "t1"), save(None, at),
         click("twice", at - SECOND, "t3"), save("twice", at), save("twice", at),
     ])
-    assert attributed(ctx, hot_rows=hot_rows) == [
+    assert attributed(ctx, slice_micros=slice_micros) == [
         ("latest", "t2"), ("null_template", None), ("same_time", "t1"), ("twice", "t3"),
     ]
     funnel = {r["template_id"]: (r["clicks"], r["click_users"], r["saves"], r["total_saves"])
-              for r in attribution.template_funnel(ctx, hot_rows=hot_rows).collect()}
+              for r in attribution.template_funnel(ctx, slice_micros=slice_micros).collect()}
     assert funnel == {"t1": (7, 6, 1, 9), "t2": (1, 1, 1, 9), "t3": (1, 1, 1, 9), None: (1, 1, 0, 9)}
 
 
@@ -233,8 +233,7 @@ def test_template_languages(context):
     assert attribution.template_language(nothing, known).count() == 0
 
 
-@pytest.mark.parametrize("hot_rows", [1, 1_000_000])
-def test_path_band_and_exclusions(context, hot_rows):
+def test_path_band_and_exclusions(context):
     at = micros(28)
     ctx = context([
         event("u", "exposure", at),
@@ -250,7 +249,7 @@ def test_path_band_and_exclusions(context, hot_rows):
         event("maker", "exposure", at), event("maker", "generate", at + 9 * MINUTE), event("maker", "tts", at + MINUTE),
         event(None, "exposure", at), event(None, "tts", at + MINUTE),
     ])
-    steps = paths.path_steps(ctx, hot_rows=hot_rows)
+    steps = paths.path_steps(ctx)
     assert rows(steps, "user_pseudo_id", "step", "event_name") == [
         ("late", 1, "tts"), ("u", 1, "page_bounce"), ("u", 2, "credit_reduce"), ("u", 3, "prompt_click")]
     assert rows(paths.path_counts(steps), "step1", "step2", "step3", "user_count") == [

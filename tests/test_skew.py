@@ -1,4 +1,4 @@
-"""Hot keys: cutting a key into pieces must not change any result."""
+"""Hot keys: cutting keys into slices of time must not change any result."""
 
 import random
 
@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from eventloom.functions.cut import cut
-from eventloom.functions.skew import largest_keys, running
+from eventloom.functions.skew import running
 from eventloom.operators import attribution, paths
 from fixture_bindings import fx_context
 from tests.conftest import SECOND, SF, context, event, micros, rows  # noqa: F401
@@ -36,9 +36,9 @@ def value(row, key, slot):
     return next((v[slot] for k, v in row[3] if k == key), None)
 
 
-@pytest.mark.parametrize("hot_rows", [1, 10, 1_000_000])
+@pytest.mark.parametrize("slice_micros", [250_000, SECOND, 3600 * SECOND])
 @pytest.mark.parametrize("seed", [1, 2])
-def test_interval_pairs_equal_brute_force(context, seed, hot_rows):  # noqa: F811
+def test_interval_pairs_equal_brute_force(context, seed, slice_micros):  # noqa: F811
     events = crowd(seed)
     within = 3 * SECOND
     saves = [e for e in events if e[1] == "save" and e[0]]
@@ -49,14 +49,14 @@ def test_interval_pairs_equal_brute_force(context, seed, hot_rows):  # noqa: F81
         n, pairs, own = expected.get((s[0], s[2]), (0, 0, 0))
         design = sum(value(t, "from", 0) == "/voice/design" for t in mine)
         expected[s[0], s[2]] = (n + 1, pairs + len(mine), own + design)
-    got = attribution.interval_pairs(context(events), within=within, hot_rows=hot_rows)
+    got = attribution.interval_pairs(context(events), within=within, slice_micros=slice_micros)
     found = {(r["user_pseudo_id"], r["save_ts"]): (r["saves"], r["pairs"], r["feature_pairs"]) for r in got.collect()}
     assert found == expected
 
 
-@pytest.mark.parametrize("hot_rows", [1, 10, 1_000_000])
+@pytest.mark.parametrize("slice_micros", [250_000, SECOND, 3600 * SECOND])
 @pytest.mark.parametrize("seed", [3, 4])
-def test_attribution_equals_brute_force(context, seed, hot_rows):  # noqa: F811
+def test_attribution_equals_brute_force(context, seed, slice_micros):  # noqa: F811
     events = crowd(seed)
     expected = {}
     for s in events:
@@ -71,15 +71,15 @@ def test_attribution_equals_brute_force(context, seed, hot_rows):  # noqa: F811
         if clicks:
             at, template = max(clicks)
             expected[s[0], session, s[2]] = (at, template or None)
-    got = attribution.template_attribution(context(events), hot_rows=hot_rows).collect()
+    got = attribution.template_attribution(context(events), slice_micros=slice_micros).collect()
     assert len(got) == len(expected)
     assert {
         (r["user_pseudo_id"], r["session_id"], r["save_ts"]): (r["click_ts"], r["template_id"]) for r in got
     } == expected
 
 
-@pytest.mark.parametrize("hot_rows", [1, 10, 1_000_000])
-def test_paths_equal_brute_force(context, hot_rows):  # noqa: F811
+@pytest.mark.parametrize("within", [5, 2])
+def test_paths_equal_brute_force(context, within):  # noqa: F811
     events = crowd(5)
     first = {}
     for e in events:
@@ -90,39 +90,32 @@ def test_paths_equal_brute_force(context, hot_rows):  # noqa: F811
         later = sorted(
             (e[2], e[1])
             for e in events
-            if e[0] == user and at + SECOND < e[2] <= at + 5 * SECOND and e[1] not in ("exposure", "page_view")
+            if e[0] == user and at + SECOND < e[2] <= at + within * SECOND and e[1] not in ("exposure", "page_view")
         )
         expected += [(user, i + 1, name, when) for i, (when, name) in enumerate(later[:3])]
-    got = paths.path_steps(context(events), within=5 * SECOND, hot_rows=hot_rows)
+    got = paths.path_steps(context(events), within=within * SECOND)
     assert rows(got, "user_pseudo_id", "step", "event_name", "event_timestamp") == sorted(expected)
 
 
-def test_table_results_do_not_depend_on_the_threshold(spark):
+def test_table_results_do_not_depend_on_the_slices(spark):
     ctx = fx_context(spark, SF)
     for op in (
-        lambda n: attribution.interval_pairs(ctx, 30, DAY, hot_rows=n),
-        lambda n: attribution.template_attribution(ctx, 30, hot_rows=n),
-        lambda n: paths.path_steps(ctx, within=3 * DAY, hot_rows=n),
+        lambda n: attribution.interval_pairs(ctx, 30, DAY, slice_micros=n),
+        lambda n: attribution.template_attribution(ctx, 30, slice_micros=n),
     ):
-        plain = op(1_000_000)
-        assert rows(plain, *plain.columns) == rows(op(2), *plain.columns)
+        plain = op(60 * SECOND)
+        assert rows(plain, *plain.columns) == rows(op(DAY), *plain.columns)
 
 
 def test_running_takes_any_associative_fold(spark):
     df = spark.range(200).selectExpr("id % 2 k", "id * 400000 at", "cast(id * 7 % 31 as long) v")
-    got = running(df, ["k"], "at", ["at"], ["v"], F.max, lambda a, b: F.greatest(a, b), hot_rows=10)
+    got = running(df, ["k"], "at", ["at"], ["v"], F.max, lambda a, b: F.greatest(a, b), slice_micros=3_000_000)
     best = {0: -1, 1: -1}
     for r in sorted(got.collect(), key=lambda r: r["at"]):
         best[r["k"]] = max(best[r["k"]], r["v"])
         assert r["running_v"] == best[r["k"]]
 
 
-def test_largest_keys_are_bounded_and_repeatable(spark):
-    sizes = spark.range(50).selectExpr("id k", "cast(10 + id % 3 as long) n")
-    got = [r["k"] for r in largest_keys(sizes, ["k"], rows=10, at_most=5).collect()]
-    assert sorted(got) == [2, 5, 8, 11, 14]
-
-
 def test_cut_keeps_rows_and_forgets_the_plan(spark):
     df = spark.range(10).groupBy((F.col("id") % 3).alias("k")).count()
     kept = cut(df)
