@@ -26,16 +26,19 @@ def running(
 
     Every key is cut into slices of `at` (micros): each slice is folded on its own, and the fold of
     all earlier slices, one row per slice, is merged in. `rows` must be unique on `keys + order`, so a
-    slice has a bounded number of rows whatever its key weighs. Both steps share one shuffle.
+    slice has a bounded number of rows whatever its key weighs.
     `merge(carried, here)` sees NULL for an absent part; rows without a key are carried nothing.
     """
     sliced = rows.withColumn("slice", F.floor(F.col(at) / slice_micros).cast("long"))
     within = Window.partitionBy(*keys, "slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     folded = sliced.select("*", *[fold(F.col(v)).over(within).alias(f"here_{v}") for v in values])
     earlier = Window.partitionBy(*keys).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    # Reading every column keeps this branch identical to the other up to the shuffle that made `rows`, so
+    # Spark reuses that shuffle instead of scanning again.
     carry = (
         sliced.groupBy(*keys, "slice")
-        .agg(*[fold(F.col(v)).alias(v) for v in values])
+        .agg(F.bit_xor(F.hash(*rows.columns)).alias("read"), *[fold(F.col(v)).alias(v) for v in values])
+        .filter(F.col("read").isNotNull())
         .select(*keys, "slice", *[fold(F.col(v)).over(earlier).alias(f"carried_{v}") for v in values])
     )
     merged = folded.join(carry, [*keys, "slice"], "left")

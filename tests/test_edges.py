@@ -3,11 +3,13 @@
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from eventloom.context import Period
 from eventloom.functions.params import int_param, number_param, string_param
 from eventloom.operators import attribution, counts, ownership, paths, quality, report, tags, tiers
 from eventloom.sources.events import unified
+from eventloom.sources.schema import EVENTS
 from tests.conftest import MINUTE, SECOND, event, micros, one, rows, with_as_of
 
 
@@ -376,7 +378,11 @@ def test_tags(spark):
     assert rows(usage, "kind", "tag", "usage", "downloaded") == [
         ("emoji", "Fear", 1, 1), ("text", "proud", 1, 0), ("text", "surprise", 1, 0)]
     assert rows(tags.tag_weights(products), "tag", "emotion", "occurrences", "weight", "share") == [
-        ("surprise", "Anger", 1, 3, 0.5), ("surprise", "Fear", 2, 3, 0.5)]
+        ("proud", "Anger", 0, 0.0, 0.0), ("proud", "Happy", 0, 0.0, 0.0),
+        ("surprise", "Anger", 1, 3.0, 0.5), ("surprise", "Fear", 2, 3.0, 0.5)]
+    assert rows(tags.tag_weights(products).filter("tag = 'proud'"), "unreadable") == [(1,), (1,)]
+    mixed = products.selectExpr("gen_product_id", "'[surprise#Fear:2.5;Anger:3]: a' as target_text", "is_downloaded").limit(1)
+    assert rows(tags.tag_weights(mixed), "emotion", "weight") == [("Anger", 3.0), ("Fear", 2.5)]
 
 
 def test_rate_bands(spark):
@@ -396,3 +402,57 @@ def test_deleted_products_are_left_out(spark):
         [(1, None, at), (2, at, at), (3, None, datetime(2024, 1, 3))],
         "gen_product_id long, deleted_at timestamp, created_at timestamp")
     assert rows(live_products(products, datetime(2024, 1, 1), datetime(2024, 1, 3)), "gen_product_id") == [(1,)]
+
+
+def test_sums_lose_nothing_and_raise_on_what_is_no_amount(spark):
+    from eventloom.functions.numbers import exact_avg, exact_sum
+
+    def total(values, how=exact_sum):
+        return spark.createDataFrame([(v,) for v in values], "v double").agg(how(F.col("v")).alias("s")).first()["s"]
+
+    assert total([4e-7] * 1000) == 4e-4 and total([1e33, 1.0, -1e33]) == 1.0 and total([]) == 0.0 and total([None]) == 0.0
+    assert total([0.1] * 10) == 1.0 and total([1 / 3] * 3, exact_avg) == 1 / 3 and total([None], exact_avg) is None
+    for bad in (float("nan"), float("inf"), 1e38):
+        with pytest.raises(Exception, match="not finite or too large"):
+            total([1.0, bad])
+
+
+def test_report_days_outside_the_history_window(context):
+    day = date(2024, 1, 10)
+    ctx = context([event("u", "exposure", micros(10)), event("u", "generate", micros(30)), event("v", "exposure", micros(31)), event("u", "save", micros(31))])
+    assert one(report.history_funnel(ctx, day))["exposure"] == 1
+    today = one(report.history_funnel(ctx, ctx.as_of))
+    assert (today["exposure"], today["save"]) == (0, 1)
+    short = {r["step"]: r["previous_count"] for r in report.daily_report(
+        context([event("u", "exposure", micros(29)), event("u", "exposure", micros(30))]), history_days=1).collect()}
+    assert short["exposure"] == 1
+
+
+def test_a_day_finalised_meanwhile_is_counted_once(spark, tmp_path):
+    from eventloom.sources.events import read_events, unified
+
+    def add(name, day):
+        spark.createDataFrame([event("u", "save", micros(day))], EVENTS).write.partitionBy("event_date").mode("append").parquet(str(tmp_path / name))
+
+    add("daily", 28), add("intraday", 28), add("intraday", 29)
+    lo, hi = date(2024, 1, 28), date(2024, 1, 31)
+    daily, intraday = (read_events(spark, str(tmp_path / n)) for n in ("daily", "intraday"))
+    before = unified(daily, intraday, lo, hi)
+    add("daily", 29)
+    assert before.count() == 2
+    daily = read_events(spark, str(tmp_path / "daily"))
+    assert unified(daily, intraday, lo, hi).count() == 2
+    assert unified(daily.pin(lo, hi), intraday, lo, hi).count() == 2
+
+
+def test_a_partition_without_rows_is_not_finalised(spark):
+    from eventloom.sources.events import EventSource, table_events, unified
+
+    row = spark.createDataFrame([event("u", "save", micros(28))], EVENTS)
+    row.write.partitionBy("event_date").mode("overwrite").saveAsTable("finalised_events")
+    try:
+        spark.sql("alter table finalised_events add partition (event_date = '20240129')")
+        intraday = EventSource(spark.createDataFrame([event("u", "save", micros(29))], EVENTS))
+        assert unified(table_events(spark, "finalised_events"), intraday, date(2024, 1, 28), date(2024, 1, 31)).count() == 2
+    finally:
+        spark.sql("drop table finalised_events")
