@@ -9,13 +9,14 @@ The tree, from its root down:
  1. Classes. Texts of equal sets are one point; only classes are joined, so copies cost nothing.
  2. Size ranges. Jaccard bounds the ratio of sizes, so a point is compared within its range, and the first part of a
     range is also reached from the range below.
- 3. Slices. A range has r + 1 slices of coordinates, r being the largest distance of its pairs: distances add up over
-    slices, so a pair within r agrees in all coordinates of one slice at least. In each slice's tree the query thus has
+ 3. Slices. A range has more than r slices of coordinates, r being the largest distance of its pairs: distances add up
+    over slices, so a pair within r agrees in all coordinates of one slice at least. In each slice's tree the query thus has
     radius zero, and the leaf it ends in, the cell, is found by the hash of the slice's counts. A shared passage does
     not make a cell hot: a cell holds those who agree in *all* their shingles of a slice.
- 4. Pages. Points of a cell are first held against its leader, then, where the links found leave more than one
-    component in the cell, pages of points against each other: pages whose bounding boxes overlap too little are
-    skipped, then pairs whose coordinate minima sum up to too little.
+ 4. Pages. Points of a cell are first held against its leader (a point of many cells against one leader, then against
+    those of other components), then, where the links found leave more than one component in the cell, pages of points
+    against each other: pages whose bounding boxes overlap too little are skipped, then pairs whose coordinate minima
+    sum up to too little.
 Surviving pairs are verified on the sets. Links are complete up to connectivity: two linked texts are always in one
 component, though a pair within one component need not be tested once the component is known.
 
@@ -26,6 +27,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,13 +38,15 @@ from pyspark.sql import types as T
 from eventloom.llm.components import components
 from eventloom.llm.rows import free_name, with_found
 from eventloom.llm.stored import forget, stored
-from eventloom.llm.words import FOLDED_KEYS, Hasher, Texts, keys, mix, windows
+from eventloom.llm.words import FOLDED_KEYS, Hasher, Texts, keys, mix, release, windows
 
 #: Points have so many coordinates (the bound on the whole vector); slices have finer groups of their own.
-GROUPS = 64
-SUBGROUPS = 256
+GROUPS = 256
+SUBGROUPS = 1 << 20
 #: Size ranges grow by this ratio.
 RANGE_RATIO = 1.4
+#: Cells are gathered in so many passes over disjoint parts of them, which bounds the disk that one shuffle takes.
+PASSES = 4
 #: Points in a page of a cell, about.
 PAGE = 64
 
@@ -59,8 +63,8 @@ class Join:
         """Largest L1 distance of a linked pair whose sizes sum up to total."""
         return total * (self.den - self.num) // (self.den + self.num)
 
-    def ranges(self, n: int) -> list[tuple[int, int]]:
-        """(range, slices) in which a set of n shingles has cells; none if only an equal set can link with it."""
+    def ranges(self, n: int) -> list[tuple[int, int, int]]:
+        """(range, slices, spare slices) in which a set of n shingles has cells; none if only an equal set can link with it."""
         largest = n * self.den // self.num
         if self.reach(n + largest) == 0:
             return []
@@ -72,7 +76,9 @@ class Join:
         out = []
         for k in found:
             top = int(np.ceil(RANGE_RATIO ** (k + 1))) - 1
-            out.append((k, self.reach(top + top * self.den // self.num) + 1))
+            least = self.reach(top + top * self.den // self.num) + 1
+            spare = -(-least // 10)
+            out.append((k, least + spare, spare))
         return out
 
 
@@ -107,15 +113,18 @@ def set_key(shingles: np.ndarray) -> int:
     return int(mix(np.array([total + np.uint64(len(shingles))], np.uint64)).view(np.int64)[0])
 
 
-def _cells(shingles: np.ndarray, ranges: list[tuple[int, int]]) -> np.ndarray:
+def _cells(shingles: np.ndarray, ranges: list[tuple[int, int, int]]) -> np.ndarray:
+    """Keys of the cells of a set. A linked pair agrees in more slices than there are spare ones, so a set with no more
+    empty slices than that agrees in one that is not empty, and its empty ones need no cell."""
     out = []
-    for k, n_slices in ranges:
+    for k, n_slices, spare in ranges:
         seed = np.uint64(k * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
         sums = mix(np.arange(n_slices, dtype=np.uint64) + seed)
         which = ((shingles >> np.uint64(33)) % np.uint64(n_slices)).astype(np.int64)
         group = which.astype(np.uint64) * np.uint64(SUBGROUPS) + (shingles & np.uint64(SUBGROUPS - 1))
         np.add.at(sums, which, mix(group + ~seed))
-        out.append(mix(sums))
+        filled = np.bincount(which, minlength=n_slices) > 0
+        out.append(mix(sums if n_slices - filled.sum() > spare else sums[filled]))
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
@@ -174,28 +183,41 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, join: Join)
     return joined.filter(_enough(overlap, F.size("s_a"), F.size("s_b"), join)).select("a", "b")
 
 
+class _Pages:
+    """A column of pages as numpy arrays: members of page k are first[k] to first[k + 1]."""
+
+    def __init__(self, column: pa.ListArray):
+        self.first = column.offsets.to_numpy() - column.offsets[0].as_py()
+        members = column.flatten()
+        self.set, self.root, self.n = (members.field(c).to_numpy() for c in ("set", "root", "n_shingles"))
+        self.point = members.field("point").flatten().to_numpy().reshape(-1, GROUPS)
+
+    def page(self, k: int) -> tuple[np.ndarray, ...]:
+        a, b = self.first[k], self.first[k + 1]
+        return self.set[a:b], self.root[a:b], self.n[a:b], self.point[a:b]
+
+
 def _page_pairs(join: Join):
-    """Pairs of points of two pages that lie in different components and near enough."""
+    """Pairs of points of two pages (or of one, where y is null) that lie in different components and near enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = [], []
-            for row in batch.to_pylist():
-                same = row["page"] == row["other"]
-                x, y = ([np.array([p[k] for p in side], np.int64) for k in ("set", "root", "n_shingles", "point")] for side in (row["x"], row["y"]))
-                need = (join.num * (x[2][:, None] + y[2][None]) + join.den + join.num - 1) // (join.den + join.num)
+            left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            pages, others = _Pages(batch.column(0)), _Pages(batch.column(1))
+            alone = batch.column(1).is_null().to_numpy(zero_copy_only=False)
+            for k in range(batch.num_rows):
+                x = pages.page(k)
+                y = x if alone[k] else others.page(k)
+                need = -(-join.num * (x[2][:, None] + y[2][None]) // (join.den + join.num))
                 if np.minimum(x[3].max(0), y[3].max(0)).sum() < need.min():
                     continue
-                for k in range(len(x[0])):
-                    near = np.minimum(x[3][k], y[3]).sum(1) >= need[k]
-                    near &= x[1][k] != y[1]
-                    if same:
-                        near[: k + 1] = False
-                    found = y[0][near]
-                    left.append(np.minimum(found, x[0][k]))
-                    right.append(np.maximum(found, x[0][k]))
-            if left:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(left)), pa.array(np.concatenate(right))], names=["a", "b"])
+                near = np.minimum(x[3][:, None], y[3][None]).sum(2) >= need
+                near &= x[1][:, None] != y[1][None]
+                i, j = np.nonzero(np.triu(near, 1) if alone[k] else near)
+                left.append(np.minimum(x[0][i], y[0][j]))
+                right.append(np.maximum(x[0][i], y[0][j]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(left)), pa.array(np.concatenate(right))], names=["a", "b"])
+        release()
 
     return run
 
@@ -208,12 +230,29 @@ def _rest(members: DataFrame, roots: DataFrame, classes: DataFrame, join: Join)
     open_cells = labelled.groupBy("cell").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("size"))
     open_cells = open_cells.filter(F.col("low") != F.col("high")).select("cell", F.ceil(F.col("size") / PAGE).alias("n_pages"))
     paged = labelled.join(open_cells, "cell").join(classes, "set").select(
-        "cell", F.pmod(F.xxhash64("set"), "n_pages").alias("page"), F.struct("set", "root", "n_shingles", "point").alias("p")
+        "cell", "n_pages", F.pmod(F.xxhash64("set"), "n_pages").alias("page"), F.struct("set", "root", "n_shingles", "point").alias("p")
     )
-    pages = stored(paged.groupBy("cell", "page").agg(F.collect_list("p").alias("x")))
-    others = pages.select("cell", F.col("page").alias("other"), F.col("x").alias("y"))
-    both = pages.join(others, "cell").filter(F.col("page") <= F.col("other")).select("page", "other", "x", "y")
-    return both.mapInArrow(_page_pairs(join), "a long, b long").distinct()
+    pages = stored(paged.groupBy("cell", "n_pages", "page").agg(F.collect_list("p").alias("x")))
+    several = pages.filter(F.col("n_pages") > 1)
+    others = several.select("cell", F.col("page").alias("other"), F.col("x").alias("y"))
+    across = several.join(others, "cell").filter(F.col("page") < F.col("other")).select("x", "y")
+    within = pages.select("x", F.lit(None).cast(pages.schema["x"].dataType).alias("y"))
+    # A task takes some hundred pages, so that a batch of them is small.
+    return within.unionByName(across).repartition(1 + pages.count() // 500).mapInArrow(_page_pairs(join), "a long, b long").distinct()
+
+
+def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs (a, b) in different components."""
+    side = lambda x: roots.select(F.col("node").alias(x), F.col("root").alias(f"root_{x}"))
+    joined = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left")
+    return joined.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
+
+
+def _members(classes: DataFrame, part: int) -> DataFrame:
+    """(cell, set, leader) of the cells of one part that hold several sets; the leader is the least of them."""
+    cells = classes.select(F.explode("cells").alias("cell"), "set").filter(F.pmod("cell", F.lit(PASSES)) == part)
+    leaders = cells.groupBy("cell").agg(F.min("set").alias("leader"), F.max("set").alias("last")).filter("leader < last").drop("last")
+    return cells.join(leaders, "cell")
 
 
 def linked(docs: DataFrame, id: str = "doc_id", text: str = "text", join: Join = Join()) -> DataFrame:
@@ -230,17 +269,19 @@ def linked(docs: DataFrame, id: str = "doc_id", text: str = "text", join: Join =
     ))
     points = stored(found.select("_id", "_key", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("set")).alias("set")))
     forget(found)
-    cells = with_cells.select(F.explode("cells").alias("cell"), "set")
-    leaders = cells.groupBy("cell").agg(F.min("set").alias("leader"), F.max("set").alias("last")).filter("leader < last").drop("last")
-    members = stored(cells.join(leaders, "cell"))
+    members = reduce(DataFrame.unionByName, [stored(_members(with_cells, part)) for part in range(PASSES)])
     classes = stored(with_cells.drop("cells"))
     forget(with_cells)
     to_leader = members.filter(F.col("set") != F.col("leader")).select(F.col("leader").alias("a"), F.col("set").alias("b")).distinct()
-    first = stored(_verified(stored(_bounded(to_leader, classes, join)), classes, rows, join))
-    rest = stored(_bounded(_rest(members, components(first), classes, join), classes, join))
-    forget(members)
-    links = first if rest.isEmpty() else first.unionByName(stored(_verified(rest, classes, rows, join)))
+    near = stored(_bounded(to_leader, classes, join))
+    # One leader for each set first: most other pairs then lie within one component and need no test.
+    links = stored(_verified(near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), classes, rows, join))
     roots = components(links)
+    for pairs in (lambda: _apart(near, roots), lambda: _bounded(_rest(members, roots, classes, join), classes, join)):
+        more = stored(pairs())
+        if not more.isEmpty():
+            links = links.unionByName(stored(_verified(more, classes, rows, join)))
+            roots = components(links)
     rooted = classes.join(roots, F.col("set") == F.col("node"), "left").select("set", "sample", F.coalesce("root", "set").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("sample").alias("component"))
     of_class = rooted.join(smallest, "root").select("set", "component")

@@ -446,8 +446,8 @@ def test_slices_cover_every_distance():
     for a in range(1, 900, 7):
         for b in range(a, a * 10 // 9 + 1):
             if join.reach(a + b):
-                both = {k for k, _ in join.ranges(a)} & {k for k, _ in join.ranges(b)}
-                assert any(n > join.reach(a + b) for k, n in join.ranges(a) if k in both), (a, b)
+                both = {k for k, *_ in join.ranges(a)} & {k for k, *_ in join.ranges(b)}
+                assert any(n - spare > join.reach(a + b) for k, n, spare in join.ranges(a) if k in both), (a, b)
 
 
 # --- 10 personal data
