@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from eventloom.llm.words import SLICE_BYTES, slices
+from eventloom.llm.words import SLICE_BYTES, release, slices
 
 #: Gets the texts of some rows, gives an array per field.
 Finder = Callable[[pa.Array], list[pa.Array]]
@@ -47,5 +47,7 @@ def with_found(df: DataFrame, text: str, name: str, fields: T.StructType, finder
                 found = [a if a.type == k else a.cast(k) for a, k in zip(find(column), kinds, strict=True)]
                 struct = pa.StructArray.from_arrays(found, names=fields.names)
                 yield pa.RecordBatch.from_arrays([*part.columns[: len(carried)], struct], names=[*carried, name])
+        del find
+        release()
 
     return source.mapInArrow(run, schema)
