@@ -47,6 +47,8 @@ SUBGROUPS = 1 << 20
 RANGE_RATIO = 1.4
 #: Cells are gathered in so many passes over disjoint parts of them, which bounds the disk that one shuffle takes.
 PASSES = 4
+#: Points in pages have coordinates summed up to so many: the bound stays one, and a page stays small.
+COARSE = 64
 #: Points in a page of a cell, about.
 PAGE = 64
 
@@ -190,7 +192,7 @@ class _Pages:
         self.first = column.offsets.to_numpy() - column.offsets[0].as_py()
         members = column.flatten()
         self.set, self.root, self.n = (members.field(c).to_numpy() for c in ("set", "root", "n_shingles"))
-        self.point = members.field("point").flatten().to_numpy().reshape(-1, GROUPS)
+        self.point = members.field("point").flatten().to_numpy().reshape(-1, COARSE)
 
     def page(self, k: int) -> tuple[np.ndarray, ...]:
         a, b = self.first[k], self.first[k + 1]
@@ -229,7 +231,10 @@ def _rest(members: DataFrame, roots: DataFrame, classes: DataFrame, join: Join)
     )
     open_cells = labelled.groupBy("cell").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("size"))
     open_cells = open_cells.filter(F.col("low") != F.col("high")).select("cell", F.ceil(F.col("size") / PAGE).alias("n_pages"))
-    paged = labelled.join(open_cells, "cell").join(classes, "set").select(
+    step = GROUPS // COARSE
+    coarse = F.transform(F.sequence(F.lit(0), F.lit(COARSE - 1)), lambda i: sum((F.get("point", i * step + k) for k in range(1, step)), F.get("point", i * step)))
+    slim = classes.select("set", "n_shingles", coarse.alias("point"))
+    paged = labelled.join(open_cells, "cell").join(slim, "set").select(
         "cell", "n_pages", F.pmod(F.xxhash64("set"), "n_pages").alias("page"), F.struct("set", "root", "n_shingles", "point").alias("p")
     )
     pages = stored(paged.groupBy("cell", "n_pages", "page").agg(F.collect_list("p").alias("x")))
