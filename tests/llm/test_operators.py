@@ -251,6 +251,57 @@ def test_passages_are_found_and_prose_is_not(spark):
         assert all(any(a is not b and len(a & b) >= 0.8 * len(a | b) for b in sets) for a in sets)
 
 
+def test_passages_of_a_hot_bucket_are_all_compared(spark):
+    """Near copies whose buckets hold, besides them, unrelated paragraphs with one frequent phrase."""
+    rng = random.Random(16)
+    vocabulary = [f"v{k}" for k in range(3000)]
+    phrase, rows = prose(rng, 14, vocabulary), []
+    for g in range(150):
+        own = prose(rng, 5, vocabulary)
+        rows += [(2 * g + c, f"{phrase} {own} {rng.choice(vocabulary)}") for c in range(2)]
+    # Of fewer shingles than their near copies: in the second the last words make a shingle again.
+    loop = " ".join(["w0 w1 w2 w3 w4 w5 w6"] * 3).split()
+    rows += [(900, " ".join(loop[:20])), (901, " ".join([*loop[:19], "x1"]))]
+    table = docs(spark, rows)
+    banded = {}
+    for r in table.selectExpr("doc_id id", "text").mapInArrow(passages._banded(passages.Banding()), "id long, start long, content long, size int, bands array<long>").collect():
+        banded[r.id] = (r.size, set(r.bands))
+    sets = {k: brute.shingles(t, 5) for k, t in rows}
+    assert all(banded[k][0] == len(s) for k, s in sets.items())
+    expected = {(a, b) for a in sets for b in sets if a < b and 1.8 * len(sets[a] & sets[b]) >= 0.8 * (len(sets[a]) + len(sets[b])) and banded[a][1] & banded[b][1]}
+    assert len(expected) > 130
+    groups = {}
+    for r in passages.repeated(table).collect():
+        groups.setdefault(r.component, set()).add(r.doc_id)
+    assert all(any({a, b} <= g for g in groups.values()) for a, b in expected)
+    assert all(any((a, b) in expected or (b, a) in expected or 1.8 * len(sets[a] & sets[b]) >= 0.8 * (len(sets[a]) + len(sets[b])) for b in g - {a}) for g in groups.values() for a in g)
+
+
+def test_subsets_are_shared_by_similar_sets_only():
+    rule = passages.Banding()
+    rng = random.Random(17)
+
+    def keys_of(x, y):
+        rows = [sorted(x), sorted(y)]
+        batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array([min(len(x), len(y))] * 2, pa.int32()), pa.array(rows, pa.list_(pa.int64()))], names=["content", "smallest", "shingles"])
+        sides = {1: {}, 2: {}}
+        for part in range(passages.SUBSET_PASSES):
+            for found in passages._subsets(rule, part)([batch]):
+                for r in found.to_pylist():
+                    sides[r["content"]].setdefault(r["key"], set()).add(r["side"])
+        return any(s != t or s == {passages.EQUAL} for k, s in sides[1].items() for t in [sides[2].get(k)] if t)
+
+    seen = set()
+    for _ in range(120):
+        x = set(rng.sample(range(1000), rng.randint(9, 16)))
+        y = set(rng.sample(sorted(x), len(x) - rng.randint(0, 3)))
+        y |= set(rng.sample(range(1000, 2000), rng.randint(0, min(3, 16 - len(y)))))
+        similar = len(x & y) >= 0.8 * len(x | y) - 1e-9
+        seen.add(similar)
+        assert keys_of(x, y) == similar
+    assert seen == {True, False}
+
+
 def test_bands_reach_their_recall():
     assert passages.bands_for(0.8, 0.95, 2) == 3 and 1 - (1 - 0.8**2) ** 3 >= 0.95
     for _ in range(60):
