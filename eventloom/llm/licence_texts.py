@@ -13,6 +13,7 @@ TEMPLATES = {
         "distribute, sublicense, and/or sell copies of the Software.",
         "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
         "SPDX-License-Identifier: MIT",
+        "Distributed under MIT",
     ),
     "apache-2.0": (
         "Licensed under the Apache License, Version 2.0.",
@@ -21,6 +22,7 @@ TEMPLATES = {
         "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, "
         "WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
         "SPDX-License-Identifier: Apache-2.0",
+        "Apache-2.0",
     ),
     "gpl-3.0": (
         "This work is licensed under the GNU General Public License, version 3.",
@@ -30,6 +32,8 @@ TEMPLATES = {
         "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
         "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.",
         "SPDX-License-Identifier: GPL-3.0-or-later",
+        "Distributed under GPLv3",
+        "GPL-3.0",
     ),
     "bsd": (
         "Licensed under the BSD 3-Clause License.",

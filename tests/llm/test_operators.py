@@ -4,6 +4,7 @@ import itertools
 import math
 import random
 import re
+import textwrap
 from collections import Counter
 
 import numpy as np
@@ -218,6 +219,29 @@ def test_every_template_confirms_itself(spark, classifier):
     assert got >= 0.8 * len(rows)
 
 
+def test_every_template_is_confirmed_whole_and_wrapped(spark, classifier):
+    """Each notice on one line and wrapped in a comment, between other paragraphs."""
+    rows, families = [], {}
+    for family, texts in TEMPLATES.items():
+        for text in texts:
+            comment = "\n".join(f" * {line}" for line in textwrap.wrap(text, 60, break_on_hyphens=False))
+            for whole in (text, f"/*\n{comment}\n */", f"Some words.\n\n# {textwrap.fill(text, 40, break_on_hyphens=False)}\n\nOther words."):
+                families[len(rows)] = family
+                rows.append((len(rows), whole))
+    got = {(r.doc_id, r.family) for r in licences.scan(docs(spark, rows), classifier=classifier).filter("confirmed").collect()}
+    assert {k: rows[k][1] for k, f in families.items() if (k, f) not in got} == {}
+
+
+def test_wrapped_notices_and_names(spark, classifier):
+    notice = textwrap.fill(next(t for t in TEMPLATES["mit"] if t.startswith("Permission is")), 75)
+    rows = [
+        (1, f"First line.\nSecond line.\n\n{notice}\n\nLast words."), (2, "Distributed under GPLv3"), (3, "Apache-2.0"), (4, "Wir fahren mit dem Zug. Dann gehen\nwir mit dem Hund."),
+        (5, "He has permission to use\nthe car, free of charge."),
+    ]
+    got = {(r.doc_id, r.paragraph, r.family) for r in licences.scan(docs(spark, rows), classifier=classifier).filter("confirmed").collect()}
+    assert got == {(1, 3, "mit"), (2, 0, "gpl-3.0"), (3, 0, "apache-2.0")}
+
+
 # --- 5 substring dedup
 
 
