@@ -74,4 +74,9 @@ ORACLES = {
         select record_id, canonical_url, ts, response_id, response_ts, outcome, case when outcome in ('resolved', 'unchecked') then
             'cache-control: max-age=120' || chr(10) || 'content-length: ' || size || chr(10) || 'content-type: text/html' || chr(10) || 'date: ' || ts || chr(10) || 'server: a' end as headers
         from outcomes""",
+    "op11_block_naming": r"""
+        with plain as (select doc_id, coalesce(text, '') as t, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') as p from documents)
+        select doc_id, first_value(doc_id) over best as keep_id, count(*) over (partition by p) as group_size,
+            row_number() over best = 1 as kept, sha256(p) as text_sha256
+        from plain window best as (partition by p order by length(t) desc, doc_id nulls last)""",
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import decontaminate, edits, fertility, jaccard, lattice, licences, passages, pii, revisits, secrets
+from eventloom.llm import decontaminate, edits, fertility, jaccard, lattice, licences, naming, passages, pii, revisits, secrets
 from eventloom.llm.oracles import ORACLES
 
 
@@ -66,6 +66,11 @@ def op10_personal_data(spark, sf_dir):
     return found.select("doc_id", *[f"{m}.n_{k}" for k in pii.KINDS], f"{m}.base_sha256", f"{m}.spans", f"{m}.n_added")
 
 
+def op11_block_naming(spark, sf_dir):
+    found, m = naming.grouped(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return found.select("doc_id", *[f"{m}.{c}" for c in ("keep_id", "group_size", "kept", "text_sha256")])
+
+
 QUERIES = {
     "op1_fertility": op1_fertility,
     "op2_spaced_seeds": op2_spaced_seeds,
@@ -77,6 +82,7 @@ QUERIES = {
     "op8_secrets": op8_secrets,
     "op9_jaccard": op9_jaccard,
     "op10_personal_data": op10_personal_data,
+    "op11_block_naming": op11_block_naming,
 }
 
 __all__ = ["ORACLES", "QUERIES"]
