@@ -50,8 +50,9 @@ def _catalogued(docs: DataFrame, text: str, identifier: str, keep: list[str], bl
         docs[f"`{identifier}`"].cast("long").alias("id"),
         docs[f"`{text}`"].cast("string").alias("text"),
     )
-    added = "points long, sha binary, book long, first_new int, ids array<int>, fresh array<binary>"
-    schema = T.StructType([*source.schema.fields[:3], *T._parse_datatype_string(added).fields])
+    kinds = {"points": T.LongType(), "sha": T.BinaryType(), "book": T.LongType(), "first_new": T.IntegerType()}
+    kinds |= {"ids": T.ArrayType(T.IntegerType()), "fresh": T.ArrayType(T.BinaryType())}
+    schema = T.StructType([*source.schema.fields[:3], *[T.StructField(c, kind) for c, kind in kinds.items()]])
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import decontaminate, edits, fertility, jaccard, lattice, licences, naming, passages, pii, revisits, secrets
+from eventloom.llm import alignment, decontaminate, edits, fertility, jaccard, lattice, licences, naming, passages, pii, revisits, secrets
 from eventloom.llm.oracles import ORACLES
 
 
@@ -71,6 +71,11 @@ def op11_block_naming(spark, sf_dir):
     return found.select("doc_id", *[f"{m}.{c}" for c in ("keep_id", "group_size", "kept", "text_sha256")])
 
 
+def op13_alignment(spark, sf_dir):
+    found, m = alignment.aligned(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return found.select("doc_id", *[f"{m}.{c}" for c in alignment.FOUND.names if c != "groups"])
+
+
 QUERIES = {
     "op1_fertility": op1_fertility,
     "op2_spaced_seeds": op2_spaced_seeds,
@@ -83,6 +88,7 @@ QUERIES = {
     "op9_jaccard": op9_jaccard,
     "op10_personal_data": op10_personal_data,
     "op11_block_naming": op11_block_naming,
+    "op13_alignment": op13_alignment,
 }
 
 __all__ = ["ORACLES", "QUERIES"]
