@@ -79,4 +79,25 @@ ORACLES = {
         select doc_id, first_value(doc_id) over best as keep_id, count(*) over (partition by p) as group_size,
             row_number() over best = 1 as kept, sha256(p) as text_sha256
         from plain window best as (partition by p order by length(t) desc, doc_id nulls last)""",
+    "op12_hard_negatives": r"""
+        with usable as (
+            select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v
+            from embeddings
+            where label is not null and embedding is not null
+                and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+        parts as (select vec_id, label, unnest(v) as x, generate_subscripts(v, 1) as k from usable),
+        scored as (
+            select a.vec_id as anchor_id, b.vec_id as other_id, a.label = b.label as same, sum(a.x * b.x)::bigint as score
+            from parts a join parts b on a.k = b.k and a.vec_id <> b.vec_id
+            where a.vec_id % 100 = 0 group by all),
+        positives as (
+            select * from (select *, row_number() over (partition by anchor_id order by score desc, other_id) as place from scored where same)
+            where place <= 5),
+        fitting as (
+            select p.anchor_id, p.other_id as positive_id, n.other_id as negative_id, p.score as positive_score, n.score as negative_score,
+                row_number() over (partition by p.anchor_id, p.other_id order by n.score desc, n.other_id) as rank
+            from positives p join scored n on n.anchor_id = p.anchor_id and not n.same
+                and 100 * n.score between 30 * p.score and 90 * p.score)
+        select anchor_id, positive_id, rank::integer as rank, negative_id, positive_score, negative_score from fitting where rank <= 10""",
 }

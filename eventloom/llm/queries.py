@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import alignment, decontaminate, edits, fertility, jaccard, lattice, licences, naming, passages, pii, revisits, secrets
+from eventloom.llm import alignment, decontaminate, edits, fertility, jaccard, lattice, licences, naming, negatives, passages, pii, revisits, secrets
 from eventloom.llm.oracles import ORACLES
 
 
@@ -71,6 +71,12 @@ def op11_block_naming(spark, sf_dir):
     return found.select("doc_id", *[f"{m}.{c}" for c in ("keep_id", "group_size", "kept", "text_sha256")])
 
 
+def op12_hard_negatives(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mined(rows.select("vec_id", "embedding", label.alias("label")))
+
+
 def op13_alignment(spark, sf_dir):
     found, m = alignment.aligned(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return found.select("doc_id", *[f"{m}.{c}" for c in alignment.FOUND.names if c != "groups"])
@@ -88,6 +94,7 @@ QUERIES = {
     "op9_jaccard": op9_jaccard,
     "op10_personal_data": op10_personal_data,
     "op11_block_naming": op11_block_naming,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_alignment": op13_alignment,
 }
 
