@@ -49,8 +49,9 @@ def pairs(w: Column) -> Column:
     return F.array_distinct(F.transform(at, lambda i: F.concat_ws(" ", F.element_at(w, i), F.element_at(w, i + 1))))
 
 
-def grams(text: Column) -> Column:
-    w = words(text)
+def grams(w: Column) -> Column:
+    """Distinct words and pairs of an array of words, which must be a column or a lambda's variable: pairs reads it once
+    for each word."""
     return F.array_distinct(F.concat(w, pairs(w)))
 
 
@@ -90,7 +91,8 @@ def fitted(spark: SparkSession, rows: list[tuple[str, str]] | None = None, penal
     rows = (rows or labelled())[:at_most]
     families = tuple(sorted({family for _, family in rows}))
     table = spark.createDataFrame([(k, text, float(families.index(family))) for k, (text, family) in enumerate(rows)], "number long, text string, label double")
-    table = table.coalesce(1).select("number", "label", grams(F.col("text")).alias("grams")).cache()
+    table = table.coalesce(1).select("number", "label", _once(words(F.col("text"))).alias("words"))
+    table = table.select("number", "label", grams(F.col("words")).alias("grams")).cache()
     counter = CountVectorizer(inputCol="grams", outputCol="features", binary=True, minDF=2.0).fit(table)
     ready = counter.transform(table.filter(F.col("number") % held_out != held_out - 1))
     model = LogisticRegression(family="multinomial", elasticNetParam=0.9, regParam=penalty, maxIter=60, standardization=False).fit(ready)
@@ -156,12 +158,15 @@ def _blocks(texts: DataFrame, model: Classifier, least: float, share: float) ->
     each = split.withColumn("_ends", _once(ends)).select("_id", "_blocks", "_ends", F.explode(wanted).alias("_i"))
     block = F.element_at("_blocks", F.col("_i"))
     before = F.aggregate(F.slice("_ends", F.lit(1), F.col("_i") - 1), F.lit(0), lambda s, x: s + x)
-    each = each.select("_id", (before + blank(block)).alias("paragraph"), inner(block).alias("_block")).withColumn("_grams", _once(grams(F.col("_block"))))
+    each = each.select("_id", (before + blank(block)).alias("paragraph"), inner(block).alias("_block"))
+    each = each.withColumn("_words", _once(words(F.col("_block")))).withColumn("_grams", _once(grams(F.col("_words"))))
     shared = F.filter(F.transform(_templates(), lambda t: F.struct(_share(t, F.col("_grams")).alias("share"), t.alias("template"))), lambda x: x["share"] >= share)
     each = each.withColumn("_shared", _once(shared)).filter(F.size("_shared") > 0)
+    lines = F.filter(F.split("_block", PARAGRAPH_END), lambda p: p.rlike(ANCHOR))
+    each = each.withColumn("_lines", _once(F.transform(lines, words))).withColumn("_lines", _once(F.transform("_lines", grams)))
     best = F.transform(F.array(*[F.lit(f) for f in TEMPLATES]), lambda f: F.array_max(F.filter("_shared", lambda x: x["template"]["family"] == f)))
-    each = each.select("_id", "paragraph", "_block", "_grams", F.explode(best).alias("_best")).filter("_best is not null")
-    alone = F.exists(F.split("_block", PARAGRAPH_END), lambda p: p.rlike(ANCHOR) & (_share(F.col("_best.template"), grams(p)) >= F.col("_best.share")))
+    each = each.select("_id", "paragraph", "_lines", "_grams", F.explode(best).alias("_best")).filter("_best is not null")
+    alone = F.exists("_lines", lambda g: _share(F.col("_best.template"), g) >= F.col("_best.share"))
     each = each.filter(~alone).withColumn("_logits", _once(model.logits(F.array_intersect("_best.template.grams", "_grams"))))
     each = each.withColumn("_p", _once(model.probabilities(F.col("_logits"))))
     at = F.array_position(F.array(*[F.lit(f) for f in model.families]), F.col("_best.template.family"))

@@ -81,9 +81,21 @@ def _features(value: Column, before: Column, after: Column, path: Column) -> dic
     }
 
 
-def _candidates(text: Column, path: Column) -> Column:
-    """Array of structs: value, gap (code points since the candidate before), f (features)."""
-    pieces, values = F.split(text, CANDIDATE, -1), F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0))
+def _once(value: Column) -> Column:
+    """The value through a generator, so that it is not put into the lambdas that use it and computed there again."""
+    return F.explode(F.array(value))
+
+
+def _with_candidates(df: DataFrame, text: str, path: str | None) -> tuple[DataFrame, str]:
+    """df with an array of candidates (null where there is none): value, gap (code points since the candidate before),
+    f (features)."""
+    name = free_name(df.columns, "_candidates")
+    pieces, values = free_name([*df.columns, name], "_pieces"), free_name([*df.columns, name], "_values")
+    whole = F.col(f"`{text}`").cast("string")
+    where = F.coalesce(F.col(f"`{path}`").cast("string"), F.lit("")) if path else F.lit("")
+    some = whole.rlike(CANDIDATE)
+    split = df.withColumn(values, _once(F.when(some, F.regexp_extract_all(whole, F.lit(CANDIDATE), F.lit(0)))))
+    split = split.withColumn(pieces, _once(F.when(F.col(values).isNotNull(), F.split(whole, CANDIDATE, -1))))
     around = F.transform(
         F.sequence(F.lit(1), F.size(values)),
         lambda i: F.struct(
@@ -93,18 +105,9 @@ def _candidates(text: Column, path: Column) -> Column:
             F.left(F.element_at(pieces, i + 1), F.lit(NEAR)).alias("after"),
         ),
     )
-    return F.transform(
-        around,
-        lambda c: F.struct(c["value"].alias("value"), c["gap"].alias("gap"), F.array(*_features(c["value"], c["before"], c["after"], path).values()).alias("f")),
-    )
-
-
-def _with_candidates(df: DataFrame, text: str, path: str | None) -> tuple[DataFrame, str]:
-    """df with an array of candidates (null where there is none)."""
-    name = free_name(df.columns, "_candidates")
-    whole = F.col(f"`{text}`").cast("string")
-    where = F.coalesce(F.col(f"`{path}`").cast("string"), F.lit("")) if path else F.lit("")
-    return df.withColumn(name, F.when(whole.rlike(CANDIDATE), _candidates(whole, where))), name
+    features = lambda c: F.array(*_features(c["value"], c["before"], c["after"], where).values())
+    found = F.transform(around, lambda c: F.struct(c["value"].alias("value"), c["gap"].alias("gap"), features(c).alias("f")))
+    return split.withColumn(name, _once(F.when(F.col(values).isNotNull(), found))).drop(pieces, values), name
 
 
 class Forest:
@@ -160,7 +163,7 @@ def standard_forest(spark: SparkSession) -> Forest:
 def _scored(df: DataFrame, text: str, path: str | None, forest: Forest) -> tuple[DataFrame, str]:
     found, name = _with_candidates(df, text, path)
     scored = F.transform(F.col(name), lambda c: F.struct(c["value"].alias("value"), c["gap"].alias("gap"), forest.score(c["f"]).alias("score")))
-    return found.withColumn(name, scored), name
+    return found.withColumn(name, _once(scored)), name
 
 
 def findings(docs: DataFrame, id: str = "doc_id", text: str = "text", path: str | None = "source", forest: Forest | None = None, least: float = 0.5) -> DataFrame:
@@ -182,7 +185,7 @@ def redacted(docs: DataFrame, text: str = "text", path: str | None = "source", f
     scored, name = _scored(docs, text, path, forest or standard_forest(docs.sparkSession))
     whole = F.col(f"`{text}`").cast("string")
     pieces = F.split(whole, CANDIDATE, -1)
-    found = F.col(name)
+    found = F.col(name)  # null or an array of this row
     parts = F.transform(
         pieces,
         lambda p, i: F.concat(

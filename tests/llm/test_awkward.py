@@ -1,10 +1,13 @@
 """Nulls in any column, empty and very long texts, ties, repeated rows, empty tables and clashing column names."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from eventloom.llm import decontaminate, edits, fertility, jaccard, lattice, licences, passages, pii, secrets
+from eventloom.llm.licence_texts import TEMPLATES
 from tests.conftest import SF
 
 CLASHES = ("_text", "_key", "_id", "_row_key", "key", "set", "cell", "samples", "fertility", "_group", "_band_group", "personal", "tokens", "content", "region", "_candidates", "_text_key", "_leak_id", "label")
@@ -87,3 +90,22 @@ def test_stages_take_awkward_tables(spark, awkward, stage):
         out.collect()
         if not last:
             assert out.columns == docs.columns
+
+
+def test_many_candidates_in_one_text(spark, forest):
+    """Time grows with the text, not with its square: ten thousand candidates take seconds."""
+    values = [f"{k:024x}" for k in range(10_000)]
+    docs = spark.createDataFrame([(1, " ".join(f"password = '{v}'" for v in values), "x")], "doc_id long, text string, source string")
+    start = time.monotonic()
+    assert secrets.findings(docs, forest=forest, least=0.0).count() == len(values)
+    assert secrets.redacted(docs, forest=forest, least=0.0).first().text.count(secrets.MASK) == len(values)
+    assert time.monotonic() - start < 60
+
+
+def test_long_block_with_a_licence(spark, classifier):
+    words = [f"word{k % 977}" + ("\n" if k % 12 == 0 else "") for k in range(50_000)]
+    text = "\n".join(TEMPLATES["mit"][3].split(" to ")) + " ".join(words) + " license"
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    start = time.monotonic()
+    assert "mit" in {r.family for r in licences.scan(docs, classifier=classifier).collect() if r.confirmed}
+    assert time.monotonic() - start < 60
