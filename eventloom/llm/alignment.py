@@ -7,6 +7,9 @@ group. All intervals of a batch are divided together; what an interval has tried
 end is tried about once. A and B tokens whose byte ranges overlap are linked; for each pair of ids the documents that
 hold it linked are counted over the corpus.
 
+Neither tokeniser has a token across a single blank before a word, so the tokens of such chunks (a blank and what follows
+up to the next one) are remembered and each distinct chunk is encoded about once.
+
 How the counts come back: a task closes a book about every BOOK_BYTES of text, with its distinct pairs and in how many
 of its documents each is. Books are counted together, each book's pairs get their counts, and book and documents meet
 again by book. So a pair that is in every document is one row per book, and no group is larger than a book (a longer
@@ -34,12 +37,19 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from eventloom.llm.fertility import TOKENIZERS, ranges
 from eventloom.llm.rows import free_name
 from eventloom.llm.stored import stored
-from eventloom.llm.words import release, slices
+from eventloom.llm.words import Hasher, release, slices
 
 #: Text of a book. Its links take about 30 bytes each while it is closed.
 BOOK_BYTES = 6 << 20
 #: A pair of ids is one integer: A's id times PAIR plus B's id.
 PAIR = 1 << 20
+#: Chunks whose tokens a task remembers; beyond that, or eight tokens each, it starts anew (no effect on results).
+REMEMBERED = 400_000
+#: First bytes of characters that are no white space to anyone (those that share a first byte with some white space are
+#: left out: then a chunk is only longer).
+BEGINS_WORD = np.zeros(256, bool)
+BEGINS_WORD[[*range(0x21, 0x7F), *range(0xC3, 0xE1), *range(0xE4, 0xEF), *range(0xF0, 0xF5)]] = True
+WORD_BYTES = bytes([*np.flatnonzero(BEGINS_WORD).tolist(), *range(0x80, 0xC0)])
 
 COUNTS = ("n_a", "n_b", "n_groups", "n_links")
 FOUND = T.StructType(
@@ -79,16 +89,82 @@ class Coders:
         marks = [(self.n_a, b","), (self.n_a, b"|"), (n, b","), (n, b";")]
         self.written = [b"%d%s" % (i, mark) for size, mark in marks for i in range(size)]
 
-    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of both; empty lists for a text that either does not spell."""
-        a = [e.ids for e in self.a.encode_batch([" " + t for t in texts], add_special_tokens=False)] if texts else []
-        b = self.b.encode(texts, num_threads=1) if texts else []
+        self._forget()
+
+    def _forget(self) -> None:
+        self.at: dict[int, int] = {}
+        self.spelt = np.zeros(0, bool)
+        self.ids = [np.zeros(0, np.int64) for _ in "ab"]
+        self.starts = [np.zeros(1, np.int64) for _ in "ab"]
+
+    def _together(self, chunks: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]] | None:
+        """Ids of both and how many each chunk has, with all chunks encoded as one text; None if they do not come apart."""
+        whole = b"".join(chunks)
+        text, stops = whole.decode(), np.cumsum(np.fromiter(map(len, chunks), np.int64, len(chunks)))
+        out = []
+        for ids, table, length in ((self.a.encode(text, add_special_tokens=False).ids, self.bytes_a, self.length_a), (self.b.encode(text[1:]), self.bytes_b, self.length_b)):
+            if b"".join(map(table.__getitem__, ids)) != whole:
+                return None
+            ids = np.array(ids, np.int64)
+            ends = np.cumsum(length[ids])
+            last = np.searchsorted(ends, stops)
+            if (ends[last] != stops).any():
+                return None
+            out.append((ids, np.diff(last + 1, prepend=0)))
+        return out
+
+    def _singly(self, chunks: list[bytes]) -> tuple[list[tuple[np.ndarray, np.ndarray]], list[bool]]:
+        texts = [c.decode() for c in chunks]
+        a = [e.ids for e in self.a.encode_batch(texts, add_special_tokens=False)]
+        b = [self.b.encode(t[1:]) for t in texts]  # B adds a blank of its own
         of_a, of_b = self.bytes_a.__getitem__, self.bytes_b.__getitem__
-        for k, t in enumerate(texts):
-            whole = b" " + t.encode()
-            if not t or b"".join(map(of_a, a[k])) != whole or b"".join(map(of_b, b[k])) != whole:
-                a[k], b[k] = [], []
-        return a, b
+        spelt = [b"".join(map(of_a, x)) == c == b"".join(map(of_b, y)) for c, x, y in zip(chunks, a, b)]
+        return [(np.array([i for x in ids for i in x], np.int64), np.array([len(x) for x in ids], np.int64)) for ids in (a, b)], spelt
+
+    def _remember(self, hashes: list[int], chunks: list[bytes]) -> None:
+        """Tokens of both for chunks, each of which begins with a blank. Those that are a word and nothing else are
+        encoded together, as nothing in them touches the next blank."""
+        plain = [k for k, c in enumerate(chunks) if not c.translate(None, WORD_BYTES)[1:] and len(c) > 1 and BEGINS_WORD[c[1]]]
+        found = self._together([chunks[k] for k in plain]) if plain else None
+        rest = sorted(set(range(len(chunks))) - set(plain)) if found else range(len(chunks))
+        parts = [([hashes[k] for k in plain], found, [True] * len(plain))] if found else []
+        if rest:
+            parts.append(([hashes[k] for k in rest], *self._singly([chunks[k] for k in rest])))
+        for keys, both, spelt in parts:
+            self.at.update(zip(keys, range(len(self.at), len(self.at) + len(keys))))
+            self.spelt = np.concatenate([self.spelt, spelt])
+            for k, (ids, sizes) in enumerate(both):
+                self.ids[k] = np.concatenate([self.ids[k], ids])
+                self.starts[k] = np.concatenate([self.starts[k], self.starts[k][-1] + np.cumsum(sizes)])
+
+    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For A and for B: the ids of all texts, and how many each has; none for a text that either does not spell."""
+        data = "".join(" " + t if t else "" for t in texts).encode()
+        sizes = np.array([len(t.encode()) + 1 if t else 0 for t in texts], np.int64)
+        stops = np.cumsum(sizes)
+        flat = np.frombuffer(data, np.uint8)
+        first = np.zeros(len(flat) + 1, bool)
+        first[(stops - sizes)[sizes > 0]] = True
+        cut = first[:-1].copy()
+        cut[1:-1] |= (flat[1:-1] == 0x20) & (flat[:-2] != 0x20) & BEGINS_WORD[flat[2:]] & ~first[2:-1]
+        start = np.flatnonzero(cut)
+        end = np.append(start[1:], len(flat)).astype(np.int64)
+        if len(self.at) > REMEMBERED or len(self.ids[0]) > 8 * REMEMBERED:
+            self._forget()
+        hashes, sample, inverse = np.unique(Hasher(flat)(start, end), return_index=True, return_inverse=True)
+        hashes = hashes.tolist()
+        new = [k for k, h in enumerate(hashes) if h not in self.at]
+        if new:
+            self._remember([hashes[k] for k in new], [data[start[k] : end[k]] for k in sample[new].tolist()])
+        chunk = np.fromiter(map(self.at.__getitem__, hashes), np.int64, len(hashes))[inverse]
+        text = np.searchsorted(stops, start, "right")
+        bad = np.bincount(text, ~self.spelt[chunk], len(texts)) > 0
+        chunk, text = chunk[~bad[text]], text[~bad[text]]
+        out = []
+        for ids, starts in zip(self.ids, self.starts):
+            counts = starts[chunk + 1] - starts[chunk]
+            out.append((ids[ranges(starts[chunk], counts)], np.bincount(text, counts, len(texts)).astype(np.int64)))
+        return out
 
 
 def shared_cuts(ends_a: np.ndarray, ends_b: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -138,11 +214,6 @@ def shared_cuts(ends_a: np.ndarray, ends_b: np.ndarray, first: np.ndarray, last:
         low, high, zone_low, zone_high, width = (np.concatenate(x) for x in zip(*parts))
 
 
-def _flat(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-    return np.fromiter((i for x in ids for i in x), np.int64, int(sizes.sum())), sizes
-
-
 @dataclass
 class Aligned:
     """Some texts: token and group counts, digests, and the pairs linked in each, in order of place."""
@@ -156,7 +227,7 @@ class Aligned:
 
 
 def align(coders: Coders, texts: list[str]) -> Aligned:
-    (a, n_a), (b, n_b) = map(_flat, coders.encode(texts))
+    (a, n_a), (b, n_b) = coders.encode(texts)
     ends_a, ends_b = np.cumsum(coders.length_a[a]), np.cumsum(coders.length_b[b])
     stop_a, stop_b = np.cumsum(n_a), np.cumsum(n_b)
     full = np.flatnonzero(n_a)
@@ -173,10 +244,12 @@ def align(coders: Coders, texts: list[str]) -> Aligned:
     order = order.tolist()
     written = [b"".join(map(words, order[i:j]))[:-1] for i, j in zip(bounds, bounds[1:])]
     # Links: between two ends that follow each other, of whichever side, one A and one B token overlap.
-    ends = np.zeros(int(ends_a[-1]) + 1 if len(a) else 1, bool)
-    ends[ends_a] = ends[ends_b] = True
-    ends = np.flatnonzero(ends)
-    pairs = a[np.searchsorted(ends_a, ends)] * PAIR + b[np.searchsorted(ends_b, ends)] if len(a) else np.zeros(0, np.int64)
+    sides = np.zeros((2, int(ends_a[-1]) + 1 if len(a) else 1), bool)
+    sides[0, ends_a] = sides[1, ends_b] = True
+    ends = np.flatnonzero(sides[0] | sides[1])
+    # A token is the one whose end comes next: so many ends of its side lie before.
+    at_a, at_b = (np.cumsum(x) - x for x in sides[:, ends])
+    pairs = a[at_a] * PAIR + b[at_b] if len(a) else np.zeros(0, np.int64)
     text_ends = np.concatenate([[0], ends_a])[stop_a]
     n_links = np.diff(np.concatenate([[0], np.searchsorted(ends, text_ends, "right")]))
     n_groups = np.diff(np.concatenate([[0], np.searchsorted(cut_a, stop_a)]))
@@ -205,11 +278,12 @@ class _Book:
     def closed(self, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
         """Its documents, with their pairs as places in the book and how often each is linked; then its pairs, with
         the number of documents each is in."""
+        import pandas as pd
         import zstandard
 
         pack = zstandard.ZstdCompressor(level=1).compress
         n_links = np.concatenate(self.n_links)
-        codes, place = np.unique(np.concatenate(self.pairs), return_inverse=True)
+        place, codes = pd.factorize(np.concatenate(self.pairs))
         of = np.repeat(np.arange(len(n_links)), n_links)
         both, times = np.unique(of * max(len(codes), 1) + place, return_counts=True)
         of, place = np.divmod(both, max(len(codes), 1))
