@@ -4,15 +4,11 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """`df` written once to reliable storage and read from there, so losing executors loses nothing.
-
-    Uses the shared folder in `spark.checkpoint.dir`; only a local master may do without one.
-    """
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in `spark.checkpoint.dir`, which every executor can reach; only a local master may do without one."""
     context = spark.sparkContext
     if not context.getCheckpointDir():
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -21,4 +17,10 @@ def cut(df: DataFrame) -> DataFrame:
                 raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
             folder = tempfile.mkdtemp(prefix="eventloom-checkpoints-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir().rstrip("/")
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """`df` written once to reliable storage and read from there, so losing executors loses nothing."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()

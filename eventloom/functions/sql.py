@@ -25,10 +25,12 @@ def between_sql(lo: date | None, hi: date | None) -> str:
     return " and ".join(bounds) or "true"
 
 
-def count_sql(condition: str) -> str:
-    """Rows meeting `condition`.
+def count_sql(condition: str, weight: str | None = None) -> str:
+    """Rows meeting `condition`, or the sum of their `weight`.
 
     Many `count_if` in one aggregate put a projection of all conditions in front of it, whose
     generated code outgrows what the JVM compiles; this form is generated per aggregate.
     """
+    if weight:
+        return f"coalesce(sum(case when {condition} then {weight} end), 0L)"
     return f"count(case when {condition} then 1 end)"

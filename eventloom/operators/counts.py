@@ -11,7 +11,7 @@ from eventloom.context import Ctx, Period
 from eventloom.functions.numbers import count_where, ratio
 from eventloom.functions.params import string_param
 from eventloom.operators.segments import USER, Measure, Section, run_section
-from eventloom.sources.events import between_days, unified
+from eventloom.sources.events import between_days, events_of, unified
 from eventloom.vocab import FROM_PATH
 
 
@@ -182,12 +182,8 @@ def trend_daily(ctx: Ctx, tiers: DataFrame, events: Sequence[str] | None = None,
     Events shrink to one row per user, day and event before they meet the tiers, so users are rows.
     """
     events = list(events or ctx.roles.trend)
-    per_user = (
-        unified(ctx.daily, ctx.intraday, ctx.ago(days), ctx.as_of)
-        .filter(F.col("event_name").isin(*events))
-        .groupBy("event_date", USER, "event_name")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    both = unified(ctx.daily, ctx.intraday, ctx.ago(days), ctx.as_of).filter(F.col("event_name").isin(*events))
+    per_user = both.groupBy("event_date", USER, "event_name").agg(events_of(both).alias("n"))
     tiered = per_user.join(tiers.filter(F.col(USER).isNotNull()).select(USER, "tier"), USER, "left")
     counts = tiered.groupBy("event_date", "event_name", "tier").agg(
         F.sum("n").alias("event_count"), F.count(USER).alias("unique_users")

@@ -127,7 +127,10 @@ def user_profile(ctx: Ctx, counted: Counted | None = None, tiers: bool = True) -
     events = ctx.intraday.scan(
         min(m.period.lo for m in measures.values()), None if None in ends else max(ends)
     )
-    aggs = {name: count_sql(m.condition()) for name, m in measures.items()} | masks
+    weight = ctx.intraday.weight
+    if weight and any(m.where for m in measures.values()):
+        raise ValueError("a condition on parameters needs events, not counts of them")
+    aggs = {name: count_sql(m.condition(), weight) for name, m in measures.items()} | masks
     profile = events.filter(" or ".join(wanted)).groupBy(USER).agg(*[F.expr(f"{agg} as {n}") for n, agg in aggs.items()])
     if not tiers:
         return profile

@@ -9,6 +9,7 @@ from eventloom.context import Ctx
 from eventloom.functions.numbers import exact_avg, ratio
 from eventloom.functions.tables import literal_table
 from eventloom.operators.segments import USER, active_day_masks, days_in, user_profile
+from eventloom.sources.events import events_of
 
 
 def user_tiers(ctx: Ctx) -> DataFrame:
@@ -35,11 +36,10 @@ def generate_tier_summary(ctx: Ctx) -> DataFrame:
     """Generating users by tier, exposed or not; the three tiers are always present."""
     rule = ctx.tier_rule
     masks = active_day_masks(rule, ctx.as_of)
+    generated = ctx.intraday.scan(ctx.ago(rule.days), ctx.as_of).filter(F.col("event_name") == ctx.roles.generate)
     users = (
-        ctx.intraday.scan(ctx.ago(rule.days), ctx.as_of)
-        .filter(F.col("event_name") == ctx.roles.generate)
-        .groupBy(USER)
-        .agg(F.count(F.lit(1)).alias("generates"), *[F.expr(f"{mask} as {name}") for name, mask in masks.items()])
+        generated.groupBy(USER)
+        .agg(events_of(generated).alias("generates"), *[F.expr(f"{mask} as {name}") for name, mask in masks.items()])
         .withColumn("days", F.expr(days_in(masks)))
     )
     avg = F.col("generates").cast("double") / F.col("days").cast("double")

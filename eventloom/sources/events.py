@@ -44,6 +44,8 @@ class EventSource:
     between: Callable[[date | None, date | None], list[Column]] = between_days
     table: str | None = None
     pinned: tuple[date, date, frozenset[str]] | None = None
+    #: The column that says how many events a row stands for; None where a row is an event.
+    weight: str | None = None
 
     def scan(self, lo: date | None = None, hi: date | None = None) -> DataFrame:
         """Events of the days [lo, hi)."""
@@ -76,6 +78,11 @@ class EventSource:
         return replace(self, pinned=(lo, hi, self.listed_days(lo, hi)))
 
 
+def events_of(events: DataFrame) -> Column:
+    """How many events the rows of a group are, be they events or counts of them."""
+    return F.sum("n") if "n" in events.columns else F.count(F.lit(1))
+
+
 def read_events(spark: SparkSession, path: str) -> EventSource:
     """Parquet laid out as `event_date=yyyyMMdd/`."""
     return EventSource(spark.read.schema(EVENTS).parquet(path))
