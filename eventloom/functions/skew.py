@@ -33,13 +33,14 @@ def running(
     within = Window.partitionBy(*keys, "slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     folded = sliced.select("*", *[fold(F.col(v)).over(within).alias(f"here_{v}") for v in values])
     earlier = Window.partitionBy(*keys).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    # Reading every column keeps this branch identical to the other up to the shuffle that made `rows`, so
-    # Spark reuses that shuffle instead of scanning again.
+    # Reading every column, and a generator that no filter on its keys passes, keep this branch identical to the other
+    # up to the shuffle that made `rows`, so Spark reuses that shuffle instead of scanning again.
     carry = (
         sliced.groupBy(*keys, "slice")
         .agg(F.bit_xor(F.hash(*rows.columns)).alias("read"), *[fold(F.col(v)).alias(v) for v in values])
         .filter(F.col("read").isNotNull())
-        .select(*keys, "slice", *[fold(F.col(v)).over(earlier).alias(f"carried_{v}") for v in values])
+        .select(F.struct(*keys, "slice", *[fold(F.col(v)).over(earlier).alias(f"carried_{v}") for v in values]).alias("fold"))
+        .select(F.inline(F.array("fold")))
     )
     merged = folded.join(carry, [*keys, "slice"], "left")
     return merged.select(

@@ -86,11 +86,11 @@ def _speech_events(ctx: Ctx, days: int) -> DataFrame:
     )
 
 
-def _save_pairs(ctx: Ctx, days: int, within: int, slice_micros: int) -> DataFrame:
-    """`interval_pairs`, also of saves without a user, which have none."""
+def _save_pairs(ctx: Ctx, events: DataFrame, within: int, slice_micros: int) -> DataFrame:
+    """`interval_pairs` of the events, also of saves without a user, which have none."""
     name = F.col("event_name")
     counts = interval_counts(
-        _speech_events(ctx, days),
+        events,
         name == ctx.roles.save,
         name == ctx.roles.tts,
         F.col("from_path") == ctx.roles.tts_feature_path,
@@ -110,7 +110,7 @@ def _save_pairs(ctx: Ctx, days: int, within: int, slice_micros: int) -> DataFram
 
 def interval_pairs(ctx: Ctx, days: int = 7, within: int = TEN_MINUTES, slice_micros: int = SLICE) -> DataFrame:
     """Save times with the (save, speech) pairs that start there: all, from the feature, from elsewhere."""
-    return _save_pairs(ctx, days, within, slice_micros).filter(F.col(USER).isNotNull())
+    return _save_pairs(ctx, _speech_events(ctx, days).filter(F.col(USER).isNotNull()), within, slice_micros)
 
 
 def tts_adoption(ctx: Ctx, days: int = 7, within: int = TEN_MINUTES, slice_micros: int = SLICE) -> DataFrame:
@@ -119,7 +119,7 @@ def tts_adoption(ctx: Ctx, days: int = 7, within: int = TEN_MINUTES, slice_micro
     A save is followed or not once per (user, time); a speech inside two windows counts in both pairs.
     Saves without a user belong to no window but do count as saves.
     """
-    per_save = _save_pairs(ctx, days, within, slice_micros).select(
+    per_save = _save_pairs(ctx, _speech_events(ctx, days), within, slice_micros).select(
         "saves",
         (F.col("pairs") > 0).cast("long").alias("any"),
         (F.col("feature_pairs") > 0).cast("long").alias("own"),
@@ -217,36 +217,51 @@ def template_attribution(ctx: Ctx, days: int = 7, slice_micros: int = SLICE) ->
 
 
 def template_funnel(ctx: Ctx, days: int = 7, slice_micros: int = SLICE) -> DataFrame:
-    """Per clicked template: clicks, clicking users, attributed saves; exposures and saves overall."""
+    """Per clicked template: clicks, clicking users, attributed saves; exposures and saves overall.
+
+    One scan: clicks and saves become counted steps on the line of their user and session, along which the last
+    click runs; exposures, and what has no user or session, are counted beside it without a place on the line.
+    """
     roles = ctx.roles
     name = F.col("event_name")
-    clicked = name == roles.template_click
-    per_user = (
+    clicked, saved, seen = name == roles.template_click, name == roles.save, name == roles.exposure
+    kind = F.when(clicked, 0).when(saved, 1).otherwise(2)
+    placed = F.col(USER).isNotNull() & F.col("session_id").isNotNull() & ~seen
+    steps = (
         _template_events(ctx, days)
-        .groupBy("event_name", F.when(clicked, F.col("template_id")).alias("template_id"), USER)
+        .select(
+            USER,
+            F.when(placed, F.col("session_id")).alias("session_id"),
+            F.when(placed, F.col("event_timestamp")).alias("at"),
+            kind.alias("kind"),
+            F.when(clicked, F.col("template_id")).alias("template_id"),
+        )
+        .groupBy(USER, "session_id", "at", "kind", "template_id")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    sizes = per_user.groupBy("event_name", "template_id").agg(
-        F.sum("n").alias("clicks"), F.count(USER).alias("click_users")
+    cause = F.when((F.col("kind") == 0) & F.col("at").isNotNull(), F.struct(F.col("at").alias("cause_ts"), "template_id"))
+    last = running(
+        steps.withColumn("cause", cause), [USER, "session_id"], "at", ["at", "kind", "template_id"], ["cause"], F.max,
+        lambda carried, here: F.coalesce(here, carried), slice_micros,
+    )
+    # A save stands with the template of the last click before it, everything else that is no click with none.
+    template = F.when(F.col("kind") == 0, F.col("template_id")).when(F.col("kind") == 1, F.col("running_cause.template_id"))
+    per_user = last.withColumn("template_id", template).groupBy("template_id", USER).agg(
+        *[F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("n"))), F.lit(0)).alias(c) for k, c in enumerate(("clicks", "total_saves", "exposure_count"))],
+        count_where((F.col("kind") == 1) & F.col("template_id").isNotNull()).alias("saves"),
     )
-
-    def overall(event):
-        return sizes.filter(name == event).agg(F.coalesce(F.sum("clicks"), F.lit(0))).scalar()
-
-    clicks = sizes.filter(clicked).select(
-        "*", overall(roles.exposure).alias("exposure_count"), overall(roles.save).alias("total_saves")
+    per_template = per_user.groupBy("template_id").agg(
+        F.sum("clicks").alias("clicks"),
+        count_where((F.col("clicks") > 0) & F.col(USER).isNotNull()).alias("click_users"),
+        F.sum("saves").alias("saves"),
+        F.sum("exposure_count").alias("exposure_count"),
+        F.sum("total_saves").alias("total_saves"),
     )
-    saves = template_attribution(ctx, days, slice_micros).groupBy("template_id").agg(F.count(F.lit(1)).alias("saves"))
+    everything = Window.partitionBy(F.lit(1))  # as many rows as there are templates
+    overall = [F.sum(c).over(everything).alias(c) for c in ("exposure_count", "total_saves")]
     return (
-        clicks.join(saves, "template_id", "left")
-        .select(
-            "template_id",
-            "clicks",
-            "click_users",
-            F.coalesce("saves", F.lit(0)).alias("saves"),
-            "exposure_count",
-            "total_saves",
-        )
+        per_template.select("template_id", "clicks", "click_users", "saves", *overall)
+        .filter(F.col("clicks") > 0)
         .orderBy(F.desc("clicks"), "template_id")
     )
 

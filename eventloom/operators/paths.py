@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventloom.context import Ctx
@@ -70,32 +70,42 @@ def path_steps(
 ) -> DataFrame:
     """First `n` counted events of every non-converter in (first exposure + after, + within].
 
-    Time is cut into buckets as long as `within`: a user's band lies in two of them, so the join by user
-    and bucket meets only events near the band, and a user with very many events is many small keys.
-    Each bucket passes on its first `n`.
+    One scan and no join. A user's time is cut into slices as long as `within`, and each slice is folded to its first
+    exposure, whether the user generated, and the first `n` counted events of the band behind that exposure. A band
+    reaches into the next slice at most, so counted events are sent to their own slice and to the one before. A user's
+    slices are then merged: the band of the earliest exposure is the user's, unless any slice saw a generate.
     """
     roles = ctx.roles
-    name = F.col("event_name")
-    t = F.col("event_timestamp")
-    first = F.floor((F.col("exposure_ts") + after) / within)
-    last = F.floor((F.col("exposure_ts") + within) / within)
-    anchors = (
-        non_converters(ctx, days)
-        .filter(F.col(USER).isNotNull())
-        .select(USER, "exposure_ts", F.explode(F.sequence(first, last)).alias("bucket"))
-    )
-    counted = (
+    name, t = F.col("event_name"), F.col("event_timestamp")
+    exposed, generated = name == roles.exposure, name == roles.generate
+    counted = ~name.isin(*roles.path_excluded) & (~name.endswith(roles.path_excluded_suffix) | (name == roles.path_kept))
+    here = F.floor(t / within)
+    place = lambda at, own: F.struct(at.alias("slice"), F.lit(own).alias("own"))
+    tagged = (
         _events(ctx, days)
-        .filter(~name.isin(*roles.path_excluded))
-        .filter(~name.endswith(roles.path_excluded_suffix) | (name == roles.path_kept))
-        .withColumn("bucket", F.floor(t / within))
-    )
+        .filter(F.col(USER).isNotNull() & (exposed | generated | counted))
+        .select(
+            USER, "event_name", "event_timestamp", counted.alias("counted"),
+            F.inline(F.array_compact(F.array(place(here, True), F.when(counted, place(here - 1, False))))),
+        )
+    )
+    own, band = F.col("own"), Window.partitionBy(USER, "slice")
     since = t - F.col("exposure_ts")
-    band = counted.join(anchors, [USER, "bucket"]).filter((since > after) & (since <= within))
-    in_bucket = F.row_number().over(Window.partitionBy(USER, "bucket").orderBy("event_timestamp", "event_name"))
-    near = band.select(USER, "event_name", "event_timestamp", in_bucket.alias("place")).filter(F.col("place") <= n)
-    step = F.row_number().over(Window.partitionBy(USER).orderBy("event_timestamp", "event_name"))
-    return near.select(USER, step.alias("step"), "event_name", "event_timestamp").filter(F.col("step") <= n)
+    sliced = tagged.select(
+        USER, "slice", "event_name", "event_timestamp", "counted",
+        F.min(F.when(own & exposed, t)).over(band).alias("exposure_ts"),
+        F.max(own & generated).over(band).alias("generated"),
+    ).withColumn("step", F.coalesce(F.col("counted") & (since > after) & (since <= within), F.lit(False)))
+    first = F.row_number().over(band.orderBy(F.desc("step"), "event_timestamp", "event_name"))
+    folded = sliced.withColumn("place", first).filter(F.col("place") <= n)
+    user = Window.partitionBy(USER)
+    merged = folded.select(
+        USER, "event_name", "event_timestamp", "step", "place", "exposure_ts",
+        F.min("exposure_ts").over(user).alias("first_exposure"),
+        F.max("generated").over(user).alias("converted"),
+    )
+    kept = merged.filter(F.col("step") & ~F.col("converted") & (F.col("exposure_ts") == F.col("first_exposure")))
+    return kept.select(USER, F.col("place").alias("step"), "event_name", "event_timestamp")
 
 
 def path_counts(steps: DataFrame) -> DataFrame:
@@ -152,40 +162,60 @@ def topk_with_others(
     )
 
 
+def _level(rows: DataFrame, by: list[str], item: str, k: int, min_pct: float, below: str | None) -> DataFrame:
+    """Per group of `by` its users `n` and the nodes of `item` under it: the `k` largest and one for the rest.
+
+    Rows without the item stop at the group. Percentages are of those that have it. `below` names a column with the
+    nodes of the level below, which stay with the node they belong to if that is not among the rest.
+    """
+    group = Window.partitionBy(*(by or [F.lit(1)]))
+    there = F.col(item).isNotNull()
+    ranked = rows.select(
+        "*",
+        F.sum(F.when(there, F.col("n"))).over(group).alias("total"),
+        F.row_number().over(group.orderBy(F.desc(there), F.desc("n"), item)).alias("place"),
+    )
+    pct = percent(F.col("n"), F.col("total"))
+    kept = there & (F.col("place") <= k) & (F.round(pct, 1) >= min_pct)
+    rank = F.when(there, F.when(kept, F.col("place")).otherwise(k + 1))
+    merged = ranked.groupBy(*by, rank.alias("rank"), F.when(kept, F.col(item)).otherwise(OTHERS).alias("name")).agg(
+        F.sum("n").alias("n"), F.max("total").alias("total"), *([F.first(F.when(kept, F.col(below)), True).alias("below")] if below else [])
+    )
+    node = F.struct("rank", F.col("name").alias("event_name"), F.col("n").alias("user_count"), pct.alias("pct"), *(["below"] if below else []))
+    return merged.groupBy(*by).agg(F.sum("n").alias("n"), F.sort_array(F.collect_list(F.when(F.col("rank").isNotNull(), node))).alias("nodes"))
+
+
 def path_tree(
     paths: DataFrame, labels: dict[str, str] = EVENT_LABELS, others_label: str = "其他", min_pct: float = 5.0
 ) -> DataFrame:
     """The largest first step, its three largest second steps and theirs, each level with `others`.
 
     Percentages are of the users who get that far on the branch: second steps count users with a
-    second step, third steps users with a third. Only third steps have a minimum share. Only counts
-    per path, never events, reach this operator.
+    second step, third steps users with a third. Only third steps have a minimum share.
+
+    Paths are grouped once and folded from the leaves up: each pair of steps keeps its ranked third steps, each first
+    step its ranked pairs, and the root its first steps. Only counts per path, never events, reach this operator, and a
+    group has as many rows as there are event names.
     """
-    root = topk_with_others(paths, [], "step1", "user_count", k=1)
-    first = root.filter(F.col("rank") == 1).select("step1")
-    branch = paths.join(F.broadcast(first), "step1").filter(F.col("step2").isNotNull())
-    second = topk_with_others(branch, ["step1"], "step2", "user_count", k=3)
-    kept = second.filter(F.col("rank") <= 3).select("step1", "step2")
-    leaves = branch.join(F.broadcast(kept), ["step1", "step2"]).filter(F.col("step3").isNotNull())
-    third = topk_with_others(leaves, ["step1", "step2"], "step3", "user_count", k=3, min_pct=min_pct)
-
-    def level(depth, nodes, parents, item):
-        above = [F.col(p) if p else F.lit(None).cast("string") for p in parents]
-        return nodes.select(
-            F.lit(depth).alias("depth"),
-            above[0].alias("parent1"),
-            above[1].alias("parent2"),
-            "rank",
-            F.col(item).alias("event_name"),
-            "user_count",
-            "pct",
-        )
+    prefixes = paths.groupBy("step1", "step2", "step3").agg(F.sum("user_count").alias("n"))
+    pairs = _level(prefixes, ["step1", "step2"], "step3", 3, min_pct, None).withColumnRenamed("nodes", "thirds")
+    firsts = _level(pairs, ["step1"], "step2", 3, 0.0, "thirds").withColumnRenamed("nodes", "seconds")
+    root = _level(firsts, [], "step1", 1, 0.0, "seconds")
+    none = F.array().cast("array<struct<depth:int,parent1:string,parent2:string,rank:int,event_name:string,user_count:bigint,pct:double>>")
 
-    nodes = (
-        level(1, root, (None, None), "step1")
-        .unionByName(level(2, second, ("step1", None), "step2"))
-        .unionByName(level(3, third, ("step1", "step2"), "step3"))
-    )
+    def node(depth: int, x: Column, *parents: Column) -> Column:
+        above = [p.alias(f"parent{k}") for k, p in enumerate((*parents, F.lit(None).cast("string"), F.lit(None).cast("string"))[:2], 1)]
+        return F.struct(F.lit(depth).alias("depth"), *above, *[x[c].alias(c) for c in ("rank", "event_name", "user_count", "pct")])
+
+    def family(x: Column) -> Column:
+        """A first step, its second steps and their third steps: 1 + 4 * 5 nodes at most."""
+        seconds = F.transform(x["below"], lambda y: F.concat(F.array(node(2, y, x["event_name"])), thirds(x, y)))
+        return F.concat(F.array(node(1, x)), F.coalesce(F.flatten(seconds), none))
+
+    def thirds(x: Column, y: Column) -> Column:
+        return F.coalesce(F.transform(y["below"], lambda z: node(3, z, x["event_name"], y["event_name"])), none)
+
+    nodes = root.select(F.inline(F.flatten(F.transform("nodes", family))))
     names = literal_table(paths.sparkSession, ["event_name", "label"], [*labels.items(), (OTHERS, others_label)])
     return nodes.join(F.broadcast(names), "event_name", "left").select(
         "depth",

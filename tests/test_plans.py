@@ -89,16 +89,27 @@ def test_partition_days_can_come_from_the_catalog(spark, laid_out):
 def test_running_operators_scan_each_source_once(laid_out):
     for op in (
         lambda: attribution.interval_pairs(laid_out, 30, DAY),
+        lambda: attribution.tts_adoption(laid_out, 30, DAY),
         lambda: attribution.template_attribution(laid_out, 30),
+        lambda: attribution.template_funnel(laid_out, 30),
     ):
         text = final_plan(op())
         scans = [line for line in text.splitlines() if "FileScan" in line and "event_timestamp" in line]
         assert len(scans) == 2, text  # finalised and intraday
 
 
-def test_path_steps_limit_each_user_before_shuffling(laid_out):
-    text = plan(paths.path_steps(laid_out, within=3 * DAY))
-    assert "WindowGroupLimit" in text and "Partial" in text
+def test_paths_take_one_scan_and_no_join(laid_out):
+    steps = paths.path_steps(laid_out, within=3 * DAY)
+    text = plan(steps)
+    assert text.count("FileScan") == 2 and "Join" not in text and "Union" in text  # finalised and intraday
+    assert "WindowGroupLimit" in text
+    text = plan(paths.path_tree(paths.path_counts(steps)))
+    assert text.count("FileScan") == 2 and text.count("Join") == 1  # the labels
+    assert "BroadcastHashJoin" in text
+
+
+def test_template_totals_are_no_subqueries(laid_out):
+    assert "Subquery" not in plan(attribution.template_funnel(laid_out, 30))
 
 
 @pytest.mark.parametrize("name", sorted(n for n in entry.queries() if not re.match(r"dashboard_|op\d+_|pipeline$", n)))
