@@ -24,19 +24,26 @@ def percent(part: Column, whole: Column) -> Column:
 SIZES = ((1e8, "decimal(28,20)"), (1e26, "decimal(38,10)"), (1e37, "decimal(38,0)"))
 
 
-def exact_sum(value: Column) -> Column:
-    """Sum of doubles that does not depend on the order tasks finish in; no rows give 0.
-
-    NaN, infinities and values from 1e37 on are no amounts: they raise."""
-    parts, least = [], 0.0
-    for below, kind in SIZES:
-        inside = (F.abs(value) >= least) & (F.abs(value) < below)
-        parts.append(F.coalesce(F.sum(F.when(inside, value.cast(kind))).cast("double"), F.lit(0.0)))
-        least = below
-    fits = F.abs(value) < SIZES[-1][0]
+def exact_parts(value: Column) -> list[Column]:
+    """Decimals by size, one of them set; their sums do not depend on the order tasks finish in.
+
+    NaN (above all numbers), infinities and values from 1e37 on are no amounts: they raise."""
+    size, (small, large, largest) = F.abs(value), SIZES
     message = F.concat(F.lit("a number to be summed is not finite or too large: "), value.cast("string"))
-    checked = F.coalesce(F.sum(F.when(~fits, F.raise_error(message).cast("double"))), F.lit(0.0))
-    return parts[0] + parts[1] + parts[2] + checked
+    huge = F.when(size < largest[0], value.cast(largest[1])).otherwise(F.raise_error(message).cast(largest[1]))
+    inside = F.when((size >= small[0]) & (size < large[0]), value.cast(large[1]))
+    return [F.when(size < small[0], value.cast(small[1])), inside, F.when(size >= large[0], huge)]
+
+
+def exact_total(sums: list[Column]) -> Column:
+    """The double that sums of exact_parts stand for; 0 without rows."""
+    small, large, huge = (F.coalesce(x.cast("double"), F.lit(0.0)) for x in sums)
+    return small + large + huge
+
+
+def exact_sum(value: Column) -> Column:
+    """Sum of doubles that does not depend on the order tasks finish in; no rows give 0."""
+    return exact_total([F.sum(part) for part in exact_parts(value)])
 
 
 def exact_avg(value: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from eventloom.context import Ctx
 from eventloom.functions.numbers import count_where, ratio
-from eventloom.functions.params import int_param, string_param
+from eventloom.functions.params import int_slot, string_param, text_slot, with_params
 from eventloom.functions.skew import SECOND, SLICE, running
 from eventloom.functions.tables import literal_table
 from eventloom.operators.segments import USER
@@ -183,16 +183,10 @@ def asof_attribution(
 
 def _template_events(ctx: Ctx, days: int) -> DataFrame:
     roles = ctx.roles
-    return (
-        unified(ctx.daily, ctx.intraday, ctx.ago(days), ctx.as_of)
-        .filter(F.col("event_name").isin(roles.template_click, roles.save, roles.exposure))
-        .select(
-            USER,
-            "event_name",
-            "event_timestamp",
-            int_param(SESSION_ID).alias("session_id"),
-            string_param(TEMPLATE_ID).alias("template_id"),
-        )
+    both = unified(ctx.daily, ctx.intraday, ctx.ago(days), ctx.as_of)
+    wanted = both.filter(F.col("event_name").isin(roles.template_click, roles.save, roles.exposure))
+    return with_params(
+        wanted, [USER, "event_name", "event_timestamp"], session_id=(SESSION_ID, int_slot), template_id=(TEMPLATE_ID, text_slot)
     )
 
 

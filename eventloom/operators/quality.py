@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventloom.context import Ctx, Period
-from eventloom.functions.numbers import count_where, exact_sum, ratio
-from eventloom.functions.params import int_param, number_param, param_sql, string_param
+from eventloom.functions.numbers import count_where, exact_parts, exact_total, ratio
+from eventloom.functions.params import int_param, number_slots, param_sql, string_param, text_slot, with_params
 from eventloom.operators.segments import USER, Measure, Section, run_section
 from eventloom.sources.events import between_days, unified
 from eventloom.vocab import ACTION, CREDIT_TYPE, CREDITS, DISLIKE, FROM_CACHE, LIKE, VOICES_PER_GENERATE
@@ -67,21 +67,29 @@ def credit_share(ctx: Ctx, days: int = 7) -> DataFrame:
         "": Period("current", ctx.ago(days), ctx.as_of),
         "prev_": Period("previous", ctx.ago(2 * days), ctx.ago(days)),
     }
-    used = (
-        unified(ctx.daily, ctx.intraday, ctx.ago(2 * days), ctx.as_of, include_today=False)
-        .filter(F.col("event_name") == ctx.roles.credit)
-        .select("event_date", string_param(CREDIT_TYPE).alias("credit_type"), number_param(CREDITS).alias("credits"))
-        .filter(F.col("credits").isNotNull())
+    both = unified(ctx.daily, ctx.intraday, ctx.ago(2 * days), ctx.as_of, include_today=False)
+    used = with_params(
+        both.filter(F.col("event_name") == ctx.roles.credit),
+        ["event_date"],
+        credit_type=(CREDIT_TYPE, text_slot),
+        credits=(CREDITS, number_slots),
+    ).filter(F.col("credits").isNotNull())
+    # A sum per window and kind of use, in decimals; both windows and both totals are made of these four rows.
+    window = F.when(reduce(and_, between_days(windows[""].lo, None)), "").otherwise("prev_")
+    own = F.coalesce(F.col("credit_type") == ctx.roles.credit_feature, F.lit(False))
+    summed = used.groupBy(window.alias("window"), own.alias("own")).agg(
+        *[F.sum(part).alias(f"part{k}") for k, part in enumerate(exact_parts(F.col("credits")))]
     )
-    own = F.col("credit_type") == ctx.roles.credit_feature
-    aggs = []
-    for prefix, p in windows.items():
-        inside = reduce(and_, between_days(p.lo, p.hi))
-        aggs += [
-            exact_sum(F.when(inside & own, F.col("credits"))).alias(f"{prefix}feature_credits"),
-            exact_sum(F.when(inside, F.col("credits"))).alias(f"{prefix}total_credits"),
-        ]
-    totals = used.agg(*aggs)
+
+    def total(prefix: str, rows: Column) -> Column:
+        mine = (F.col("window") == prefix) & rows
+        return exact_total([F.sum(F.when(mine, F.col(f"part{k}"))) for k in range(3)])
+
+    totals = summed.agg(*[
+        total(prefix, rows).alias(f"{prefix}{name}")
+        for prefix in windows
+        for name, rows in (("feature_credits", F.col("own")), ("total_credits", F.lit(True)))
+    ])
     share, before = (ratio(F.col(f"{p}feature_credits"), F.col(f"{p}total_credits")) for p in windows)
     return totals.withColumn("share", share).withColumn("prev_share", before).withColumn(
         "share_delta", F.col("share") - F.col("prev_share")

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventloom.context import Ctx
 from eventloom.functions.cut import cut
+from eventloom.functions.pointer import publish, read_pointer
 from eventloom.operators import attribution, counts, ownership, paths, quality, tiers
 from eventloom.operators.segments import run_sections
 from eventloom.vocab import EVENT_LABELS, LANGUAGES, TEMPLATE_LANG, TEMPLATE_PREFIX
@@ -176,11 +178,26 @@ def document(sections: Mapping[str, DataFrame], updated: datetime) -> DataFrame:
     return parts.agg(F.concat(F.lit(f'{{"update_time":"{stamp}",'), body, F.lit("}")).alias("document"))
 
 
-def write_dashboard(sections: Mapping[str, DataFrame], path: str, updated: datetime) -> None:
-    """Each section as Parquet under `path/<section>` and the document, made from these files, as text under
-    `path/document`."""
+def write_dashboard(sections: Mapping[str, DataFrame], path: str, updated: datetime) -> str:
+    """A build of all sections as Parquet and of the document, made from these files, as text, under a folder of its own;
+    `path/current` then names that folder. A reader sees the former dashboard or this one, never parts of both, and a
+    build that fails leaves the former. Returns the folder; those of earlier builds stay until they are removed."""
+    folder = f"{updated:%Y%m%d%H%M%S}-{uuid.uuid4().hex}"
     written = {}
     for section, df in sections.items():
-        df.write.mode("overwrite").parquet(f"{path}/{section}")
-        written[section] = df.sparkSession.read.schema(df.schema).parquet(f"{path}/{section}")
-    document(written, updated).write.mode("overwrite").text(f"{path}/document")
+        df.write.parquet(f"{path}/{folder}/{section}")
+        written[section] = df.sparkSession.read.schema(df.schema).parquet(f"{path}/{folder}/{section}")
+    made = document(written, updated)
+    made.write.text(f"{path}/{folder}/document")
+    publish(made.sparkSession, f"{path}/current", {"folder": folder, "sections": list(sections), "updated": updated.isoformat()})
+    return f"{path}/{folder}"
+
+
+def read_dashboard(spark: SparkSession, path: str) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Sections and document (a row of text) of the last build that was published."""
+    current = read_pointer(spark, f"{path}/current")
+    if current is None:
+        raise FileNotFoundError(f"no dashboard has been published under {path}")
+    folder = f"{path}/{current['folder']}"
+    document_text = spark.read.text(f"{folder}/document").withColumnRenamed("value", "document")
+    return {name: spark.read.parquet(f"{folder}/{name}") for name in current["sections"]}, document_text

@@ -9,6 +9,7 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventloom.functions import footers
 from eventloom.sources.schema import EVENTS
 
 
@@ -37,7 +38,7 @@ class EventSource:
 
     `between` says how a range of days is filtered, for tables whose files are not laid out by
     `event_date` but by some other column of `df`. `table` names a catalog table partitioned by
-    `event_date`, whose days are then read from the catalog.
+    `event_date`, `path` a folder laid out by it: their days are then listed without reading data.
     """
 
     df: DataFrame
@@ -46,6 +47,7 @@ class EventSource:
     pinned: tuple[date, date, frozenset[str]] | None = None
     #: The column that says how many events a row stands for; None where a row is an event.
     weight: str | None = None
+    path: str | None = None
 
     def scan(self, lo: date | None = None, hi: date | None = None) -> DataFrame:
         """Events of the days [lo, hi)."""
@@ -71,7 +73,26 @@ class EventSource:
         """`days` on the driver, at most one per day of the range; as of now, or of the pinned snapshot."""
         if self.pinned is not None and self.pinned[0] <= lo and hi <= self.pinned[1]:
             return frozenset(d for d in self.pinned[2] if day_text(lo) <= d < day_text(hi))
-        return frozenset(row["event_date"] for row in self.days(lo, hi).collect())
+        folders = self._folders(lo, hi)
+        held = {day: footers.holds_rows(self.df.sparkSession, folder) for day, folder in folders.items()} if folders is not None else {None: None}
+        if None in held.values():  # other formats say nothing about rows, so the data must
+            return frozenset(row["event_date"] for row in self.days(lo, hi).collect())
+        return frozenset(day for day, rows in held.items() if rows)
+
+    def _folders(self, lo: date, hi: date) -> dict[str, str] | None:
+        """Folder by day, for layouts that have one."""
+        days = [day_text(day) for day in each_day(lo, hi)]
+        if self.path is not None:
+            return {day: f"{self.path}/event_date={day}" for day in days}
+        if self.table is None:
+            return None
+        spark, found = self.df.sparkSession, {}
+        listed = {row["partition"] for row in spark.sql(f"show partitions {self.table}").collect()}
+        for day in days:
+            if f"event_date={day}" in listed:
+                described = spark.sql(f"describe formatted {self.table} partition (event_date = '{day}')").collect()
+                found[day] = next(row["data_type"] for row in described if row["col_name"] == "Location")
+        return found
 
     def pin(self, lo: date, hi: date) -> EventSource:
         """This source with the days of [lo, hi) listed once, for several results that must agree."""
@@ -85,7 +106,7 @@ def events_of(events: DataFrame) -> Column:
 
 def read_events(spark: SparkSession, path: str) -> EventSource:
     """Parquet laid out as `event_date=yyyyMMdd/`."""
-    return EventSource(spark.read.schema(EVENTS).parquet(path))
+    return EventSource(spark.read.schema(EVENTS).parquet(path), path=path.rstrip("/"))
 
 
 def table_events(spark: SparkSession, table: str) -> EventSource:

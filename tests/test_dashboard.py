@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from eventloom.operators import counts, paths, tiers
-from eventloom.plans.dashboard import dashboard, dashboard_rows, document, write_dashboard
+from eventloom.plans.dashboard import dashboard, dashboard_rows, document, read_dashboard, write_dashboard
 from eventloom.sources.events import unified
 from eventloom.vocab import EVENT_LABELS, GA4_ROLES, TEMPLATE_LANG
 from fixture_bindings import fx_context
@@ -31,12 +31,31 @@ def test_document_is_json_with_every_section(sections):
 
 def test_sections_are_written(spark, sections, tmp_path):
     few = {name: sections[name] for name in ("user_tiers", "completion")}
-    write_dashboard(few, str(tmp_path / "board"), datetime(2024, 1, 31))
-    assert spark.read.parquet(str(tmp_path / "board" / "completion")).count() == 15
-    written = json.loads(spark.read.text(str(tmp_path / "board" / "document")).collect()[0][0])
+    path = str(tmp_path / "board")
+    write_dashboard(few, path, datetime(2024, 1, 31))
+    read, text = read_dashboard(spark, path)
+    assert list(read) == list(few) and read["completion"].count() == 15
+    written = json.loads(one(text)["document"])
     assert set(written) == {"update_time", "user_tiers", "completion"}
 
 
+def test_a_build_that_fails_leaves_the_former_dashboard(spark, sections, tmp_path):
+    path = str(tmp_path / "board")
+    with pytest.raises(FileNotFoundError):
+        read_dashboard(spark, path)
+    small = lambda n: {"first": spark.range(n).toDF("n"), "second": spark.range(n).toDF("n")}
+    write_dashboard(small(3), path, datetime(2024, 1, 30))
+    before, _ = read_dashboard(spark, path)
+    broken = {"first": spark.range(5).toDF("n"), "second": spark.range(5).select(F.raise_error(F.lit("half-way")).alias("n"))}
+    with pytest.raises(Exception, match="half-way"):
+        write_dashboard(broken, path, datetime(2024, 1, 31))
+    read, text = read_dashboard(spark, path)
+    assert [df.count() for df in read.values()] == [3, 3] and json.loads(one(text)["document"])["update_time"].startswith("2024-01-30")
+    write_dashboard(small(4), path, datetime(2024, 2, 1))
+    assert [df.count() for df in read_dashboard(spark, path)[0].values()] == [4, 4]
+    assert [df.count() for df in before.values()] == [3, 3]  # who has begun to read the former goes on with it
+
+
 def test_sections_equal_single_operators(spark, sections):
     ctx = fx_context(spark, SF)
     for name, op in {

@@ -456,3 +456,22 @@ def test_a_partition_without_rows_is_not_finalised(spark):
         assert unified(table_events(spark, "finalised_events"), intraday, date(2024, 1, 28), date(2024, 1, 31)).count() == 2
     finally:
         spark.sql("drop table finalised_events")
+
+
+def test_several_parameters_from_one_fold(spark):
+    from eventloom.functions.params import int_slot, number_slots, text_slot, with_params
+
+    value = lambda s=None, i=None, d=None: (s, i, d)
+    bags = [
+        [("a", value("x")), ("a", value("later")), ("n", value(i=3))],
+        [("a", None), ("a", value("hidden by a first one without value")), ("n", value("4.5"))],
+        [("n", value("no number")), (None, value("z"))],
+        [("n", value(d=2.5)), ("a", value(i=1))],
+        [],
+        None,
+    ]
+    events = spark.createDataFrame([("u", "e", k, bag, "20240101") for k, bag in enumerate(bags)], EVENTS)
+    got = with_params(events, ["event_timestamp"], a=("a", text_slot), a_int=("a", int_slot), n=("n", number_slots), none=("absent", text_slot))
+    one_by_one = events.select("event_timestamp", string_param("a").alias("a"), int_param("a").alias("a_int"), number_param("n").alias("n"), string_param("absent").alias("none"))
+    assert rows(got, *got.columns) == rows(one_by_one, *got.columns)
+    assert [r["n"] for r in got.orderBy("event_timestamp").collect()] == [3.0, 4.5, None, 2.5, None, None]

@@ -112,6 +112,53 @@ def test_template_totals_are_no_subqueries(laid_out):
     assert "Subquery" not in plan(attribution.template_funnel(laid_out, 30))
 
 
+def test_the_bag_is_read_once(spark):
+    text = plan(entry.event_param_extract(spark, SF))
+    assert text.count("aggregate(event_params") == 1 and "filter(event_params" not in text
+
+
+def jobs_of(spark, build):
+    """Data jobs that run while `build` makes its DataFrame."""
+    group = f"probe-{id(build)}"
+    spark.sparkContext.setJobGroup(group, "building")
+    try:
+        build()
+        return list(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_building_a_query_runs_no_job(spark, laid_out):
+    """Which days are finalised comes from folders and file footers."""
+    for op in (lambda: paths.path_steps(laid_out), lambda: attribution.template_funnel(laid_out, 30), lambda: counts.trend_daily(laid_out, tiers.user_tiers(laid_out))):
+        assert jobs_of(spark, op) == []
+    days = [r["event_date"] for r in laid_out.daily.days(date(2024, 1, 10), date(2024, 2, 3)).collect()]
+    assert laid_out.daily.listed_days(date(2024, 1, 10), date(2024, 2, 3)) == frozenset(days) and len(days) > 10
+
+
+def test_a_listed_day_holds_a_row(spark, tmp_path):
+    row = spark.sql("select 'u' user_pseudo_id, 'save' event_name, 1L event_timestamp, null event_params, '20240110' event_date")
+    row = row.select([F.col(f.name).cast(f.dataType) for f in EVENTS])
+    row.write.partitionBy("event_date").parquet(str(tmp_path / "t"))
+    row.drop("event_date").filter("false").write.parquet(str(tmp_path / "t" / "event_date=20240111"))  # a file without rows
+    (tmp_path / "t" / "event_date=20240112").mkdir()  # a folder without files
+    source = read_events(spark, str(tmp_path / "t"))
+    assert source.listed_days(date(2024, 1, 1), date(2024, 2, 1)) == {"20240110"}
+    assert read_events(spark, str(tmp_path / "t" / "event_date=20240110")).listed_days(date(2024, 1, 1), date(2024, 2, 1)) == frozenset()
+
+
+def test_listed_days_of_a_catalog_table(spark, laid_out):
+    laid_out.daily.df.write.partitionBy("event_date").mode("overwrite").saveAsTable("daily_listed")
+    try:
+        spark.sql("alter table daily_listed add partition (event_date = '20240131')")
+        source = table_events(spark, "daily_listed")
+        assert jobs_of(spark, lambda: source.listed_days(date(2024, 1, 20), date(2024, 2, 3))) == []
+        found = [r["event_date"] for r in source.days(date(2024, 1, 20), date(2024, 2, 3)).collect()]
+        assert source.listed_days(date(2024, 1, 20), date(2024, 2, 3)) == frozenset(found)
+    finally:
+        spark.sql("drop table daily_listed")
+
+
 @pytest.mark.parametrize("name", sorted(n for n in entry.queries() if not re.match(r"dashboard_|op\d+_|pipeline$", n)))
 def test_no_python_and_no_products(spark, name):
     text = plan(entry.queries()[name](spark, SF))
