@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventloom.context import Ctx
+from eventloom.context import Ctx, Roles
 from eventloom.functions.numbers import count_where, percent
 from eventloom.functions.skew import SECOND
 from eventloom.functions.tables import literal_table
@@ -61,6 +61,12 @@ def exposure_totals(ctx: Ctx, days: int = 14) -> DataFrame:
     return totals.withColumn("non_generated", F.col("total_exposed") - F.col("total_generated"))
 
 
+def counted_steps(roles: Roles) -> Column:
+    """Events that are steps of a path."""
+    name = F.col("event_name")
+    return ~name.isin(*roles.path_excluded) & (~name.endswith(roles.path_excluded_suffix) | (name == roles.path_kept))
+
+
 def path_steps(
     ctx: Ctx,
     n: int = 3,
@@ -78,7 +84,7 @@ def path_steps(
     roles = ctx.roles
     name, t = F.col("event_name"), F.col("event_timestamp")
     exposed, generated = name == roles.exposure, name == roles.generate
-    counted = ~name.isin(*roles.path_excluded) & (~name.endswith(roles.path_excluded_suffix) | (name == roles.path_kept))
+    counted = counted_steps(roles)
     here = F.floor(t / within)
     place = lambda at, own: F.struct(at.alias("slice"), F.lit(own).alias("own"))
     tagged = (

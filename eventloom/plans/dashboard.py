@@ -15,11 +15,12 @@ from eventloom.functions.cut import cut
 from eventloom.functions.pointer import publish, read_pointer
 from eventloom.operators import attribution, counts, ownership, paths, quality, tiers
 from eventloom.operators.segments import run_sections
+from eventloom.plans.staging import staged
 from eventloom.vocab import EVENT_LABELS, LANGUAGES, TEMPLATE_LANG, TEMPLATE_PREFIX
 
 
-#: No section looks further back.
-DAYS = 30
+#: No section looks further back, but for ownership and the tiers if their rule does.
+DAYS = 14
 
 
 @dataclass(frozen=True)
@@ -34,14 +35,18 @@ class Tables:
     path_within: int = 1800 * paths.SECOND
 
 
-def dashboard(ctx: Ctx, tables: Tables = Tables()) -> dict[str, DataFrame]:
+def dashboard(ctx: Ctx, tables: Tables = Tables(), owned: ownership.OwnershipState | None = None) -> dict[str, DataFrame]:
     """All sections by name, as the dashboard rounds them.
 
-    Which days are finalised is listed once, so all sections follow one snapshot.
-    What one pass over the intraday events can count is counted in one pass. Results several sections
-    read (totals per tier, tiers, trend, templates, path counts) are stored once; the rest is lazy.
+    Each source is scanned once, into a slim copy that all sections read (`plans/staging.py`). Only ownership goes
+    further back: it takes the state that daily runs keep, or else reads the saves of all days.
+    Which days are finalised is listed once, so all sections follow one snapshot. What one pass over the intraday events
+    can count is counted in one pass. Results several sections read (totals per tier, tiers, trend, templates, path
+    counts) are stored once; the rest is lazy.
     """
-    ctx = replace(ctx, daily=ctx.daily.pin(ctx.ago(DAYS), ctx.as_of))
+    source = ctx
+    days = max(DAYS, ctx.tier_rule.days)
+    ctx = staged(replace(ctx, daily=ctx.daily.pin(ctx.ago(days), ctx.as_of)), days)
     shared_sections = {
         "funnel": counts.event_counts_section(ctx.roles.funnel, ctx.periods),
         "prompt_overlap": counts.prompt_overlap_section(ctx),
@@ -67,7 +72,7 @@ def dashboard(ctx: Ctx, tables: Tables = Tables()) -> dict[str, DataFrame]:
         "tts_source": counts.tts_source_share(ctx),
         "trend": trend,
         "entry_composite": counts.composite(trend, ctx.roles.entries),
-        "voice_ownership": ownership.voice_ownership_delta(ctx),
+        "voice_ownership": ownership.voice_ownership_delta(source, state=owned),
         "tts_adoption": attribution.tts_adoption(ctx, within=tables.adoption_within),
         "exposure_totals": paths.exposure_totals(ctx),
         "path_users": flow.agg(F.coalesce(F.sum("user_count"), F.lit(0)).alias("non_gen_with_events")),

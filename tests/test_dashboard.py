@@ -1,13 +1,14 @@
 import json
+from dataclasses import replace
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from eventloom.operators import counts, paths, tiers
-from eventloom.plans.dashboard import dashboard, dashboard_rows, document, read_dashboard, write_dashboard
-from eventloom.sources.events import unified
+from eventloom.operators import attribution, counts, ownership, paths, quality, tiers
+from eventloom.plans.dashboard import dashboard, dashboard_rows, document, presented, read_dashboard, write_dashboard
+from eventloom.sources.events import EventSource, unified
 from eventloom.vocab import EVENT_LABELS, GA4_ROLES, TEMPLATE_LANG
 from fixture_bindings import fx_context
 from tests.conftest import SF, one, rows
@@ -58,13 +59,57 @@ def test_a_build_that_fails_leaves_the_former_dashboard(spark, sections, tmp_pat
 
 def test_sections_equal_single_operators(spark, sections):
     ctx = fx_context(spark, SF)
+    trend = counts.trend_daily(ctx, tiers.user_tiers(ctx))
+    templates = attribution.template_funnel(ctx)
+    flow = paths.path_counts(paths.path_steps(ctx, within=entry.PATH_WITHIN))
     for name, op in {
         "funnel": counts.funnel_counts(ctx),
+        "prompt_overlap": counts.prompt_overlap(ctx),
         "save_overlap": counts.save_overlap(ctx),
         "payment": counts.payment_conversion(ctx),
         "upgrade": counts.upgrade_popup(ctx),
+        "rating": quality.rating_summary(ctx),
+        "credit": quality.credit_share(ctx),
+        "tts_source": counts.tts_source_share(ctx),
+        "trend": trend,
+        "entry_composite": counts.composite(trend, ctx.roles.entries),
+        "tts_adoption": attribution.tts_adoption(ctx, within=entry.WITHIN),
+        "exposure_totals": paths.exposure_totals(ctx),
+        "path_tree": paths.path_tree(flow, dict(entry.TABLES.labels)),
+        "template_language": attribution.template_language(templates, entry.FX_TEMPLATES),
+        "cache_ratio": quality.cache_ratio(ctx),
     }.items():
-        assert rows(sections[name], *sorted(op.columns)) == rows(op, *sorted(op.columns)), name
+        shown = presented(name, op)
+        assert rows(sections[name], *sorted(shown.columns)) == rows(shown, *sorted(shown.columns)), name
+
+
+class Watched(EventSource):
+    """Notes which days are scanned."""
+
+    asked: list = []
+
+    def scan(self, lo=None, hi=None):
+        self.asked.append((self.df.columns and id(self.df), lo, hi))
+        return super().scan(lo, hi)
+
+
+def test_each_source_is_scanned_once(spark, tmp_path):
+    fx = fx_context(spark, SF)
+    ctx = replace(fx, **{n: Watched(getattr(fx, n).df, getattr(fx, n).between) for n in ("intraday", "daily")})
+    state = ownership.OwnershipState(spark, str(tmp_path / "owned"), files=1)
+    state.extend(fx)
+    Watched.asked.clear()
+    ctx = replace(ctx, daily=ctx.daily.pin(ctx.ago(30), ctx.as_of))
+    Watched.asked.clear()  # without folders by day, listing the finalised days is a job of its own
+    made = dashboard(ctx, entry.TABLES, owned=state)
+    for df in made.values():
+        df.collect()
+    assert sorted(source for source, *_ in Watched.asked) == sorted({id(ctx.intraday.df), id(ctx.daily.df)})
+    plans = {name: df._jdf.queryExecution().executedPlan().toString() for name, df in made.items()}
+    assert [name for name, text in plans.items() if "events.parquet" in text] == []
+    whole = dashboard(fx, entry.TABLES)
+    for name in made:
+        assert rows(made[name], *sorted(made[name].columns)) == rows(whole[name], *sorted(whole[name].columns)), name
 
 
 def test_rows_hold_every_number(sections):
