@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from eventloom.llm import decontaminate, edits, fertility, jaccard, lattice, licences, passages, pii, secrets
+from eventloom.llm import decontaminate, edits, fertility, jaccard, lattice, licences, passages, pii, revisits, secrets
 from eventloom.llm.licence_texts import TEMPLATES
 from tests.conftest import SF
 
@@ -109,3 +109,28 @@ def test_long_block_with_a_licence(spark, classifier):
     start = time.monotonic()
     assert "mit" in {r.family for r in licences.scan(docs, classifier=classifier).collect() if r.confirmed}
     assert time.monotonic() - start < 60
+
+
+RECORDS = "record_id long, type string, url string, ts long, status int, etag string, last_modified string, headers map<string,string>, response string, near string, slice string"
+
+
+def test_revisits_of_awkward_records(spark):
+    long_url = "https://www.host.example/" + "p" * 200_000
+    clash = (None, "x", "y")
+    rows = [
+        (1, "response", "http://host.example/a", 100, 200, '"t"', None, {"server": "a"}, *clash),
+        (2, "revisit", "https://www.host.example/a/#top", 100, 304, 'W/"t"', None, None, *clash),  # a tie of time: the smaller id is earlier
+        (2, "revisit", "https://www.host.example/a/#top", 100, 304, 'W/"t"', None, None, *clash),  # repeated
+        (3, "response", long_url, 50, 200, None, None, None, *clash),
+        (4, "revisit", long_url, 10**9, 304, None, None, {"date": "d"}, *clash),
+        (5, "revisit", None, 1, 304, None, None, None, *clash),
+        (6, "revisit", "", 1, 304, None, None, {}, *clash),
+        (7, None, "http://host.example/a", 1, 304, None, None, None, *clash),
+        (8, "revisit", "http://host.example/a", None, 304, None, None, None, *clash),
+        (None, "revisit", "http://host.example/a", 99, 304, '"t"', None, None, *clash),
+        (9, "response", "http://host.example/a", 99, 404, '"t"', None, None, *clash),
+    ]
+    records = spark.createDataFrame(rows, RECORDS)
+    got = sorted((r.record_id or 0, r.outcome, r.response_id) for r in revisits.resolved(records).collect())
+    assert got == [(0, "no_response", None), (2, "resolved", 1), (2, "resolved", 1), (4, "unchecked", 3), (6, "no_response", None)]
+    assert revisits.resolved(records.limit(0)).count() == 0
