@@ -57,7 +57,9 @@ def secret_masks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 @_with_scratch
 def piece_samples(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Two sampled segmentations of each document, with their ids and inclusion scores."""
-    found, samples = lattice.sampled(docs, keep=["doc_id"], options=lattice.Sampling(k=2, ids=True))
+    # Executors have run four stages by now: smaller slices and fewer lattices than by default leave room beside them.
+    options = lattice.Sampling(k=2, ids=True, together=1 << 19, remembered=1_000_000)
+    found, samples = lattice.sampled(docs, keep=["doc_id"], options=options)
     return found.select("doc_id", F.inline(samples))
 
 
