@@ -46,3 +46,23 @@ def _small_stars(links: DataFrame) -> DataFrame:
     least = links.groupBy("u").agg(F.min("v").alias("m"))
     moved = links.join(least, "u").filter(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
+
+
+def still_open(members: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """(cell, set, root) of the members of cells that hold more than one component."""
+    if roots is None:
+        return members.withColumn("root", F.col("set"))
+    labelled = stored(members.join(roots, F.col("set") == F.col("node"), "left").select("cell", "set", F.coalesce("root", "set").alias("root")))
+    open_cells = labelled.groupBy("cell").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("cell")
+    found = stored(labelled.join(open_cells, "cell", "left_semi"))
+    forget(labelled)
+    return found
+
+
+def led(labelled: DataFrame, number: int) -> DataFrame:
+    """Pairs (a, b): each set with the leader of one of its cells, of another component than its own. A cell's leader is
+    the least of its sets by a hash, another one in each round."""
+    leader = F.min(F.struct(F.xxhash64("set", F.lit(number)).alias("h"), "set", "root")).alias("l")
+    to_leader = labelled.join(labelled.groupBy("cell").agg(leader), "cell").filter(F.col("root") != F.col("l.root"))
+    one = to_leader.groupBy("set").agg(F.min(F.struct("l.h", "l.set")).alias("l"))
+    return one.select(F.least("set", "l.set").alias("a"), F.greatest("set", "l.set").alias("b")).distinct()

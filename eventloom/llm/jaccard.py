@@ -13,9 +13,9 @@ The tree, from its root down:
     over slices, so a pair within r agrees in all coordinates of one slice at least. In each slice's tree the query thus has
     radius zero, and the leaf it ends in, the cell, is found by the hash of the slice's counts. A shared passage does
     not make a cell hot: a cell holds those who agree in *all* their shingles of a slice.
- 4. Pages. Points of a cell are first held against its leader (a point of many cells against one leader, then against
-    those of other components), then, where the links found leave more than one component in the cell, pages of points
-    against each other: pages whose bounding boxes overlap too little are skipped, then pairs whose coordinate minima
+ 4. Pages. Points are first held against the leader of one of their cells; in each further round, against one leader that
+    is not in their component yet. Where the links found leave more than one component in a cell, pages of its points
+    are held against each other: pages whose bounding boxes overlap too little are skipped, then pairs whose coordinate minima
     sum up to too little.
 Surviving pairs are verified on the sets. Links are complete up to connectivity: two linked texts are always in one
 component, though a pair within one component need not be tested once the component is known.
@@ -35,13 +35,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventloom.llm.components import components
+from eventloom.llm.components import components, led, still_open
 from eventloom.llm.rows import free_name, with_found
 from eventloom.llm.stored import forget, stored
 from eventloom.llm.words import FOLDED_KEYS, Hasher, Texts, keys, mix, release, windows
 
 #: Points have so many coordinates (the bound on the whole vector); slices have finer groups of their own.
 GROUPS = 256
+GROUP_SHIFT = np.uint64(64 - (GROUPS - 1).bit_length())
 SUBGROUPS = 1 << 20
 #: Size ranges grow by this ratio.
 RANGE_RATIO = 1.4
@@ -51,6 +52,8 @@ PASSES = 4
 COARSE = 64
 #: Points in a page of a cell, about.
 PAGE = 64
+#: Rounds in which each set is held against one leader of a cell, before what is left is compared by pages.
+ROUNDS = 2
 
 
 @dataclass(frozen=True)
@@ -143,7 +146,7 @@ def _points(join: Join):
         for s in shingle_sets(column, join.width):
             n.append(len(s))
             key.append(set_key(s))
-            points.append(np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=GROUPS).astype(np.int32))
+            points.append(np.bincount((s >> GROUP_SHIFT).astype(np.int64), minlength=GROUPS).astype(np.int32))
             cells.append(_cells(s, join.ranges(len(s))) if len(s) else s)
         return [pa.array(n, pa.int64()), pa.array(key, pa.int64()), _lists(points, np.int32), _lists(cells, np.int64)]
 
@@ -224,13 +227,9 @@ def _page_pairs(join: Join):
     return run
 
 
-def _rest(members: DataFrame, roots: DataFrame, classes: DataFrame, join: Join) -> DataFrame:
-    """Pairs (a, b) that share a cell, are in different components and have not been held against its leader."""
-    labelled = members.filter(F.col("set") != F.col("leader")).join(roots, F.col("set") == F.col("node"), "left").select(
-        "cell", "set", F.coalesce("root", "set").alias("root")
-    )
-    open_cells = labelled.groupBy("cell").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("size"))
-    open_cells = open_cells.filter(F.col("low") != F.col("high")).select("cell", F.ceil(F.col("size") / PAGE).alias("n_pages"))
+def _rest(labelled: DataFrame, classes: DataFrame, join: Join) -> DataFrame:
+    """Pairs (a, b) that share a cell and are in different components."""
+    open_cells = labelled.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / PAGE).alias("n_pages"))
     step = GROUPS // COARSE
     coarse = F.transform(F.sequence(F.lit(0), F.lit(COARSE - 1)), lambda i: sum((F.get("point", i * step + k) for k in range(1, step)), F.get("point", i * step)))
     slim = classes.select("set", "n_shingles", coarse.alias("point"))
@@ -246,18 +245,11 @@ def _rest(members: DataFrame, roots: DataFrame, classes: DataFrame, join: Join)
     return within.unionByName(across).repartition(1 + pages.count() // 500).mapInArrow(_page_pairs(join), "a long, b long").distinct()
 
 
-def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs (a, b) in different components."""
-    side = lambda x: roots.select(F.col("node").alias(x), F.col("root").alias(f"root_{x}"))
-    joined = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left")
-    return joined.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
-
-
 def _members(classes: DataFrame, part: int) -> DataFrame:
-    """(cell, set, leader) of the cells of one part that hold several sets; the leader is the least of them."""
+    """(cell, set) of the cells of one part that hold several sets."""
     cells = classes.select(F.explode("cells").alias("cell"), "set").filter(F.pmod("cell", F.lit(PASSES)) == part)
-    leaders = cells.groupBy("cell").agg(F.min("set").alias("leader"), F.max("set").alias("last")).filter("leader < last").drop("last")
-    return cells.join(leaders, "cell")
+    several = cells.groupBy("cell").agg(F.min("set").alias("first"), F.max("set").alias("last")).filter("first < last").select("cell")
+    return cells.join(several, "cell", "left_semi")
 
 
 def linked(docs: DataFrame, id: str = "doc_id", text: str = "text", join: Join = Join()) -> DataFrame:
@@ -277,15 +269,20 @@ def linked(docs: DataFrame, id: str = "doc_id", text: str = "text", join: Join =
     members = reduce(DataFrame.unionByName, [stored(_members(with_cells, part)) for part in range(PASSES)])
     classes = stored(with_cells.drop("cells"))
     forget(with_cells)
-    to_leader = members.filter(F.col("set") != F.col("leader")).select(F.col("leader").alias("a"), F.col("set").alias("b")).distinct()
-    near = stored(_bounded(to_leader, classes, join))
-    # One leader for each set first: most other pairs then lie within one component and need no test.
-    links = stored(_verified(near.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), classes, rows, join))
-    roots = components(links)
-    for pairs in (lambda: _apart(near, roots), lambda: _bounded(_rest(members, roots, classes, join), classes, join)):
-        more = stored(pairs())
-        if not more.isEmpty():
-            links = links.unionByName(stored(_verified(more, classes, rows, join)))
+    links, roots, labelled = None, None, members
+    for number in range(ROUNDS + 1):
+        before, labelled = labelled, still_open(labelled.select("cell", "set"), roots)
+        if number > 1:  # the first two are the members themselves
+            forget(before)
+        if roots is not None and labelled.isEmpty():
+            break
+        pairs = led(labelled, number) if number < ROUNDS else _rest(labelled, classes, join)
+        near = stored(_bounded(pairs, classes, join))
+        if links is not None and near.isEmpty():
+            continue
+        more = stored(_verified(near, classes, rows, join))
+        if links is None or not more.isEmpty():
+            links = more if links is None else links.unionByName(more)
             roots = components(links)
     rooted = classes.join(roots, F.col("set") == F.col("node"), "left").select("set", "sample", F.coalesce("root", "set").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("sample").alias("component"))
