@@ -50,6 +50,12 @@ def test_words_and_hashes():
     assert len(got) == sum(max(0, len(brute.words(t)) - 2) for t in texts[3:])
 
 
+def test_all_coordinates_of_points_occur():
+    text = " ".join(f"word{k}" for k in range(20_000))
+    point = jaccard._points(jaccard.Join(width=3))()(pa.array([text]))[2][0].as_py()
+    assert len(point) == jaccard.GROUPS and min(point) > 0 and sum(point) == 19_998
+
+
 def test_components(spark):
     rng = random.Random(2)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(k, k + 1) for k in range(400, 460)] + [(500, k) for k in range(501, 700)]
