@@ -15,8 +15,9 @@ The tree, from its root down:
     not make a cell hot: a cell holds those who agree in *all* their shingles of a slice.
  4. Pages. Points are first held against the leader of one of their cells; in each further round, against one leader that
     is not in their component yet. Where the links found leave more than one component in a cell, pages of its points
-    are held against each other: pages whose bounding boxes overlap too little are skipped, then pairs whose coordinate minima
-    sum up to too little.
+    are held against each other by sketches, whose bound on the distance is nearly the distance itself. Cells of equal
+    members are one cell. A page gives out a forest of its near pairs, nearest first: if all of them link, so do all the
+    others. Only the cells of those that do not are gone through again, then for all near pairs.
 Surviving pairs are verified on the sets. Links are complete up to connectivity: two linked texts are always in one
 component, though a pair within one component need not be tested once the component is known.
 
@@ -48,10 +49,14 @@ SUBGROUPS = 1 << 20
 RANGE_RATIO = 1.4
 #: Cells are gathered in so many passes over disjoint parts of them, which bounds the disk that one shuffle takes.
 PASSES = 4
-#: Points in pages have coordinates summed up to so many: the bound stays one, and a page stays small.
-COARSE = 64
+#: Sketches have 4 to 8 groups per unit of distance, so that few groups differ in three shingles or more.
+SKETCH_GROUPS = (64, 1 << 13)
+#: Bits of a group: whether its shingles are odd in number, and exclusive ors of bits of theirs.
+PLANES = 4
 #: Points in a page of a cell, about.
-PAGE = 64
+PAGE = 1024
+#: A task takes pages of so many bytes, about, so that a batch of them is small.
+PAGE_BYTES = 1 << 23
 #: Rounds in which each set is held against one leader of a cell, before what is left is compared by pages.
 ROUNDS = 2
 
@@ -68,6 +73,11 @@ class Join:
         """Largest L1 distance of a linked pair whose sizes sum up to total."""
         return total * (self.den - self.num) // (self.den + self.num)
 
+    def groups(self, n: int) -> int:
+        """Groups of the sketch of a set of n shingles, a power of two."""
+        least, most = SKETCH_GROUPS
+        return min(max(1 << (4 * self.reach(2 * n)).bit_length(), least), most)
+
     def ranges(self, n: int) -> list[tuple[int, int, int]]:
         """(range, slices, spare slices) in which a set of n shingles has cells; none if only an equal set can link with it."""
         largest = n * self.den // self.num
@@ -92,6 +102,7 @@ POINT = T.StructType([
     T.StructField("set", T.LongType()),
     T.StructField("point", T.ArrayType(T.IntegerType())),
     T.StructField("cells", T.ArrayType(T.LongType())),
+    T.StructField("sketch", T.BinaryType()),
 ])
 SET = T.StructType([T.StructField("set", T.LongType()), T.StructField("shingles", T.ArrayType(T.LongType()))])
 
@@ -140,15 +151,37 @@ def _lists(parts: list[np.ndarray], kind: np.dtype) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
 
 
+def _sketch(shingles: np.ndarray, groups: int) -> bytes:
+    """PLANES rows of a bit per group, as 64-bit words; the halves of a row add up to the row of half as many groups."""
+    group = ((shingles >> np.uint64(21)) % np.uint64(groups)).astype(np.int64)
+    bits = ((shingles[None] >> np.arange(PLANES, dtype=np.uint64)[:, None]) & np.uint64(1)).astype(np.uint8)
+    bits[0] = 1
+    out = np.zeros((PLANES, groups), np.uint8)
+    for plane in range(PLANES):
+        np.bitwise_xor.at(out[plane], group, bits[plane])
+    return np.packbits(out, axis=1, bitorder="little").tobytes()
+
+
+def least_distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """What sets differ by at least, by their sketches: groups of unequal parity hold one shingle that the other set has
+    not, groups that differ otherwise two."""
+    odd = p[..., 0, :] ^ q[..., 0, :]
+    other = p[..., 1, :] ^ q[..., 1, :]
+    for plane in range(2, PLANES):
+        other |= p[..., plane, :] ^ q[..., plane, :]
+    return np.bitwise_count(odd).sum(-1, dtype=np.int32) + 2 * np.bitwise_count(other & ~odd).sum(-1, dtype=np.int32)
+
+
 def _points(join: Join):
     def find(column: pa.Array) -> list[pa.Array]:
-        n, key, points, cells = [], [], [], []
+        n, key, points, cells, sketches = [], [], [], [], []
         for s in shingle_sets(column, join.width):
             n.append(len(s))
             key.append(set_key(s))
             points.append(np.bincount((s >> GROUP_SHIFT).astype(np.int64), minlength=GROUPS).astype(np.int32))
             cells.append(_cells(s, join.ranges(len(s))) if len(s) else s)
-        return [pa.array(n, pa.int64()), pa.array(key, pa.int64()), _lists(points, np.int32), _lists(cells, np.int64)]
+            sketches.append(_sketch(s, join.groups(len(s))))
+        return [pa.array(n, pa.int64()), pa.array(key, pa.int64()), _lists(points, np.int32), _lists(cells, np.int64), pa.array(sketches, pa.binary())]
 
     return lambda: find
 
@@ -195,60 +228,119 @@ class _Pages:
         self.first = column.offsets.to_numpy() - column.offsets[0].as_py()
         members = column.flatten()
         self.set, self.root, self.n = (members.field(c).to_numpy() for c in ("set", "root", "n_shingles"))
-        self.point = members.field("point").flatten().to_numpy().reshape(-1, COARSE)
+        sketches = members.field("sketch")
+        wide = sketches.type == pa.large_binary()
+        offsets = np.frombuffer(sketches.buffers()[1], np.int64 if wide else np.int32) if len(sketches) else np.zeros(1, np.int64)
+        self.at = offsets[sketches.offset : sketches.offset + len(sketches) + 1].astype(np.int64)
+        self.data = np.frombuffer(sketches.buffers()[2], np.uint8) if len(sketches) else np.zeros(0, np.uint8)
 
     def page(self, k: int) -> tuple[np.ndarray, ...]:
         a, b = self.first[k], self.first[k + 1]
-        return self.set[a:b], self.root[a:b], self.n[a:b], self.point[a:b]
+        return self.set[a:b], self.root[a:b], self.n[a:b]
+
+    def words(self, k: int) -> int:
+        """Words in a row of the smallest sketch of page k."""
+        return int(np.diff(self.at[self.first[k] : self.first[k + 1] + 1]).min()) // (8 * PLANES)
+
+    def sketches(self, k: int, words: int) -> np.ndarray:
+        """Those of page k, as of so many words in a row."""
+        at = self.at[self.first[k] : self.first[k + 1] + 1]
+        sizes = np.diff(at)
+        out = np.zeros((len(sizes), PLANES, words), np.uint64)
+        for size in np.unique(sizes).tolist():
+            rows = np.flatnonzero(sizes == size)
+            whole = np.ascontiguousarray(self.data[at[rows][:, None] + np.arange(size)]).view(np.uint64)
+            out[rows] = np.bitwise_xor.reduce(whole.reshape(len(rows), PLANES, -1, words), axis=2)
+        return out
+
+
+def _near(x: tuple[np.ndarray, ...], y: tuple[np.ndarray, ...], p: np.ndarray, q: np.ndarray, join: Join, alone: bool) -> tuple[np.ndarray, ...]:
+    """(i, j, least distance) of the members of two pages that lie in different components and near enough."""
+    found = []
+    rows = max(1, (1 << 19) // max(q.size, 1))
+    for a in range(0, len(p), rows):
+        apart = least_distance(p[a : a + rows, None], q[None])
+        total = x[2][a : a + rows, None] + y[2][None]
+        near = (apart <= total * (join.den - join.num) // (join.den + join.num)) & (x[1][a : a + rows, None] != y[1][None])
+        i, j = np.nonzero(np.triu(near, 1 + a) if alone else near)
+        found.append((i + a, j, apart[i, j]))
+    return tuple(np.concatenate(c) for c in zip(*found))
+
 
+def _forest(left: np.ndarray, right: np.ndarray, apart: np.ndarray, roots: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Which of the pairs, nearest first, lead to a component that those before do not lead to."""
+    up, taken = {}, []
 
-def _page_pairs(join: Join):
-    """Pairs of points of two pages (or of one, where y is null) that lie in different components and near enough."""
+    def top(r):
+        while r in up:
+            r = up[r]
+        return r
+
+    for k in np.lexsort((right, left, apart)).tolist():
+        a, b = sorted((top(int(roots[0][k])), top(int(roots[1][k]))))
+        if a != b:
+            up[b] = a
+            taken.append(k)
+    return np.array(taken, np.int64)
+
+
+def _page_pairs(join: Join, forest: bool):
+    """Pairs of points of two pages (or of one, where y is null) that lie in different components and near enough; all,
+    or a forest of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            pages, others = _Pages(batch.column(0)), _Pages(batch.column(1))
-            alone = batch.column(1).is_null().to_numpy(zero_copy_only=False)
+            cells = batch.column(0).to_numpy()
+            found = [(np.zeros(0, np.int64),) * 3]
+            pages, others = _Pages(batch.column(1)), _Pages(batch.column(2))
+            alone = batch.column(2).is_null().to_numpy(zero_copy_only=False)
             for k in range(batch.num_rows):
-                x = pages.page(k)
+                x, of_y = pages.page(k), pages if alone[k] else others
                 y = x if alone[k] else others.page(k)
-                need = -(-join.num * (x[2][:, None] + y[2][None]) // (join.den + join.num))
-                if np.minimum(x[3].max(0), y[3].max(0)).sum() < need.min():
-                    continue
-                near = np.minimum(x[3][:, None], y[3][None]).sum(2) >= need
-                near &= x[1][:, None] != y[1][None]
-                i, j = np.nonzero(np.triu(near, 1) if alone[k] else near)
-                left.append(np.minimum(x[0][i], y[0][j]))
-                right.append(np.maximum(x[0][i], y[0][j]))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(left)), pa.array(np.concatenate(right))], names=["a", "b"])
+                words = min(pages.words(k), of_y.words(k))
+                p = pages.sketches(k, words)
+                i, j, apart = _near(x, y, p, p if alone[k] else others.sketches(k, words), join, alone[k])
+                left, right = np.minimum(x[0][i], y[0][j]), np.maximum(x[0][i], y[0][j])
+                if forest:
+                    taken = _forest(left, right, apart, (x[1][i], y[1][j]))
+                    left, right = left[taken], right[taken]
+                found.append((np.full(len(left), cells[k]), left, right))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found)], names=["cell", "a", "b"])
         release()
 
     return run
 
 
-def _rest(labelled: DataFrame, classes: DataFrame, join: Join) -> DataFrame:
-    """Pairs (a, b) that share a cell and are in different components."""
-    open_cells = labelled.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / PAGE).alias("n_pages"))
-    step = GROUPS // COARSE
-    coarse = F.transform(F.sequence(F.lit(0), F.lit(COARSE - 1)), lambda i: sum((F.get("point", i * step + k) for k in range(1, step)), F.get("point", i * step)))
-    slim = classes.select("set", "n_shingles", coarse.alias("point"))
+def _rest(labelled: DataFrame, classes: DataFrame, join: Join, forest: bool) -> DataFrame:
+    """(cell, a, b) of pairs that share a cell and are in different components: all near ones, or a forest of them for
+    each two pages."""
+    of_cells = labelled.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / PAGE).alias("n_pages"), *_members_key())
+    open_cells = of_cells.groupBy("n_pages", *MEMBERS_KEY).agg(F.min("cell").alias("cell")).select("cell", "n_pages")
+    slim = classes.select("set", "n_shingles", "sketch")
     paged = labelled.join(open_cells, "cell").join(slim, "set").select(
-        "cell", "n_pages", F.pmod(F.xxhash64("set"), "n_pages").alias("page"), F.struct("set", "root", "n_shingles", "point").alias("p")
+        "cell", "n_pages", F.pmod(F.xxhash64("set"), "n_pages").alias("page"), F.struct("set", "root", "n_shingles", "sketch").alias("p")
     )
-    pages = stored(paged.groupBy("cell", "n_pages", "page").agg(F.collect_list("p").alias("x")))
+    pages = stored(paged.groupBy("cell", "n_pages", "page").agg(F.collect_list("p").alias("x"), F.sum(F.length("p.sketch") + 24).alias("size")))
     several = pages.filter(F.col("n_pages") > 1)
     others = several.select("cell", F.col("page").alias("other"), F.col("x").alias("y"))
-    across = several.join(others, "cell").filter(F.col("page") < F.col("other")).select("x", "y")
-    within = pages.select("x", F.lit(None).cast(pages.schema["x"].dataType).alias("y"))
-    # A task takes some hundred pages, so that a batch of them is small.
-    return within.unionByName(across).repartition(1 + pages.count() // 500).mapInArrow(_page_pairs(join), "a long, b long").distinct()
+    across = several.join(others, "cell").filter(F.col("page") < F.col("other")).select("cell", "x", "y")
+    within = pages.select("cell", "x", F.lit(None).cast(pages.schema["x"].dataType).alias("y"))
+    parts = 1 + int((pages.agg(F.sum(F.col("size") * F.col("n_pages"))).first()[0] or 0) // PAGE_BYTES)
+    return within.unionByName(across).repartition(parts).mapInArrow(_page_pairs(join, forest), "cell long, a long, b long")
+
+
+MEMBERS_KEY = ["first", "last", "n", "all"]
+
+
+def _members_key() -> list[Column]:
+    """Equal for cells of equal members."""
+    return [F.min("set").alias("first"), F.max("set").alias("last"), F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("set")).alias("all")]
 
 
 def _members(classes: DataFrame, part: int) -> DataFrame:
-    """(cell, set) of the cells of one part that hold several sets."""
+    """(cell, set) of the cells of one part that hold several sets; of cells of equal members one stays."""
     cells = classes.select(F.explode("cells").alias("cell"), "set").filter(F.pmod("cell", F.lit(PASSES)) == part)
-    several = cells.groupBy("cell").agg(F.min("set").alias("first"), F.max("set").alias("last")).filter("first < last").select("cell")
+    several = cells.groupBy("cell").agg(*_members_key()).filter("first < last").groupBy(*MEMBERS_KEY).agg(F.min("cell").alias("cell")).select("cell")
     return cells.join(several, "cell", "left_semi")
 
 
@@ -262,7 +354,7 @@ def linked(docs: DataFrame, id: str = "doc_id", text: str = "text", join: Join =
     rows = docs.select(F.col(f"`{id}`").cast("long").alias("_id"), whole.alias("_text"), F.xxhash64(whole).alias("_key"))
     found = stored(with_found(rows, "_text", "_found", POINT, _points(join), ["_id", "_key"]).select("_id", "_key", "_found.*"))
     with_cells = stored(found.filter(F.col("n_shingles") > 0).groupBy("set").agg(
-        F.min("n_shingles").alias("n_shingles"), F.min("_id").alias("sample"), F.first("point").alias("point"), F.first("cells").alias("cells")
+        F.min("n_shingles").alias("n_shingles"), F.min("_id").alias("sample"), F.first("point").alias("point"), F.first("cells").alias("cells"), F.first("sketch").alias("sketch")
     ))
     points = stored(found.select("_id", "_key", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("set")).alias("set")))
     forget(found)
@@ -270,20 +362,31 @@ def linked(docs: DataFrame, id: str = "doc_id", text: str = "text", join: Join =
     classes = stored(with_cells.drop("cells"))
     forget(with_cells)
     links, roots, labelled = None, None, members
-    for number in range(ROUNDS + 1):
+    for number in range(ROUNDS + 2):
         before, labelled = labelled, still_open(labelled.select("cell", "set"), roots)
         if number > 1:  # the first two are the members themselves
             forget(before)
         if roots is not None and labelled.isEmpty():
             break
-        pairs = led(labelled, number) if number < ROUNDS else _rest(labelled, classes, join)
-        near = stored(_bounded(pairs, classes, join))
+        if number < ROUNDS:
+            near = stored(_bounded(led(labelled, number), classes, join))
+        else:
+            found = stored(_rest(labelled, classes, join, forest=number == ROUNDS))
+            near = found.select("a", "b").distinct()
         if links is not None and near.isEmpty():
+            if number >= ROUNDS:
+                break
             continue
         more = stored(_verified(near, classes, rows, join))
         if links is None or not more.isEmpty():
             links = more if links is None else links.unionByName(more)
             roots = components(links)
+        if number == ROUNDS:
+            # Where the whole forest of a cell links, all its near pairs are in one component.
+            apart = near.join(more, ["a", "b"], "left_anti")
+            again = found.join(apart, ["a", "b"], "left_semi").select("cell").distinct()
+            before, labelled = labelled, stored(labelled.join(again, "cell", "left_semi"))
+            forget(before)
     rooted = classes.join(roots, F.col("set") == F.col("node"), "left").select("set", "sample", F.coalesce("root", "set").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("sample").alias("component"))
     of_class = rooted.join(smallest, "root").select("set", "component")

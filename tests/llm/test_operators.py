@@ -531,6 +531,43 @@ def test_slices_cover_every_distance():
                 assert any(n - spare > join.reach(a + b) for k, n, spare in join.ranges(a) if k in both), (a, b)
 
 
+def test_near_copies_below_the_threshold_are_no_pairs(spark, monkeypatch):
+    """Of a group that is much alike but hardly linked, pages give out few pairs more than link."""
+    rng, join, rows, given = random.Random(21), jaccard.Join(5, 80, 100), [], []
+    base = [f"b{k}" for k in range(400)]
+    for d in range(150):
+        text = rows[-1][1].split() if d % 3 == 2 else list(base)
+        for at in rng.sample(range(5, 395), 1 if d % 3 == 2 else 8):
+            text[at] = f"x{d}_{at}"
+        rows.append((d, " ".join(text)))
+    pairs_of = jaccard._rest
+
+    def counted(*args, **options):
+        pairs = pairs_of(*args, **options)
+        given.append(pairs.select("a", "b").distinct().count())
+        return pairs
+
+    monkeypatch.setattr(jaccard, "_rest", counted)
+    got = sorted((tuple(r) for r in jaccard.linked(docs(spark, rows), join=join).drop("text_key").collect()), key=str)
+    expected = brute.classes(rows, join.width, join.num, join.den)
+    assert got == sorted(expected, key=str)
+    assert len({c for _, _, c in expected}) > 50 and 0 < sum(given) < 2 * len(rows)
+
+
+def test_sketches_bound_the_distance_from_below():
+    rng = np.random.default_rng(22)
+    for n, edits in [(40, 4), (400, 40), (400, 300), (3000, 300)]:
+        x = rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2)
+        y = np.concatenate([x[edits:], rng.integers(0, 1 << 63, edits + 3, dtype=np.uint64) * np.uint64(2)])
+        groups = jaccard.Join(5, 80, 100).groups(n)
+        p, q = (np.frombuffer(jaccard._sketch(np.unique(s), groups), np.uint64).reshape(jaccard.PLANES, -1) for s in (x, y))
+        bound = int(jaccard.least_distance(p, q))
+        assert bound <= 2 * edits + 3 and (edits * 4 > n or bound >= 0.9 * (2 * edits + 3))
+        if groups > 64:
+            half = np.frombuffer(jaccard._sketch(np.unique(x), groups // 2), np.uint64).reshape(jaccard.PLANES, -1)
+            assert (np.bitwise_xor.reduce(p.reshape(jaccard.PLANES, 2, -1), axis=1) == half).all()
+
+
 # --- 10 personal data
 
 
