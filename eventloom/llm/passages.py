@@ -2,7 +2,9 @@
 
 Repeated passages begin and end anywhere, so paragraphs are cut by content: of every run of `spread` places the one whose
 three words hash lowest begins a paragraph of `words` words. Two texts that share a passage of spread + words - 1 words
-(50) thus have a whole paragraph in common, wherever the passage stands. A paragraph is the set of its 5-word shingles.
+(50) thus have a whole paragraph in common, wherever the passage stands. Where these leave words out, paragraphs between
+them follow, counted from the one before, and the text's first and last words make paragraphs: no word is in none. A
+paragraph is the set of its 5-word shingles.
 
 Paragraphs that share a bucket of some band (`rows` MinHash values) with another one are joined exactly, whatever else
 their buckets hold: two sets of a and b shingles are similar enough if and only if they have some subset of `needed`
@@ -95,6 +97,17 @@ def _lowest(values: np.ndarray, row: np.ndarray, n_rows: int, spread: int) -> np
     return high[offset] == values
 
 
+def _covering(chosen: np.ndarray, row: np.ndarray, words: int) -> np.ndarray:
+    """The chosen places and those that paragraphs need besides so that every word of a row is in one: its first and last
+    place, and in gaps every `words` places from the one before."""
+    edge = np.ones(len(row), bool)
+    edge[1:] = row[1:] != row[:-1]
+    chosen = chosen | edge | np.append(edge[1:], np.ones(min(len(row), 1), bool))
+    place = np.arange(len(row))
+    before = np.maximum.accumulate(np.where(chosen, place, 0))
+    return chosen | ((place - before) % words == 0)
+
+
 def _paragraphs(hashes: np.ndarray, texts: Texts, rule: Banding) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(first word among all, row, content hash) of each paragraph."""
     n = len(hashes) - rule.words + 1
@@ -104,7 +117,7 @@ def _paragraphs(hashes: np.ndarray, texts: Texts, rule: Banding) -> tuple[np.nda
     at = np.flatnonzero(row[:n] == row[rule.words - 1 :])
     factors = keys(3, 9) | np.uint64(1)
     three = mix(hashes[at] * factors[0] + hashes[at + 1] * factors[1] + hashes[at + 2] * factors[2])
-    at = at[_lowest(three, row[at], texts.n, rule.spread)]
+    at = at[_covering(_lowest(three, row[at], texts.n, rule.spread), row[at], rule.words)]
     content = np.zeros(len(at), np.uint64)
     for k, factor in enumerate(keys(rule.words, 11) | np.uint64(1)):
         content += hashes[at + k] * factor

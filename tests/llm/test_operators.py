@@ -346,6 +346,29 @@ def test_bands_reach_their_recall():
         assert (expected == passages._lowest(values, row, 8, width)).all()
 
 
+def test_paragraphs_leave_no_word_out():
+    rng = random.Random(23)
+    rule = passages.Banding()
+    rows = [prose(rng, n, VOCABULARY) for n in (0, 5, 19, 20, 21, 39, 40, 41, 60, 75, 300, 2000)]
+    texts = Texts(pa.array(rows))
+    at, row, _ = passages._paragraphs(Hasher(texts.data)(texts.start, texts.end), texts, rule)
+    for k, n in enumerate(texts.counts.tolist()):
+        begins = (at[row == k] - texts.first[k]).tolist()
+        assert {w for b in begins for w in range(b, b + rule.words)} == (set(range(n)) if n >= rule.words else set())
+
+
+def test_repeats_at_the_ends_of_texts_are_found(spark):
+    """Of 20 words, at the beginning of two texts, and at the end of two others."""
+    rng = random.Random(24)
+    vocabulary, rows = [f"v{k}" for k in range(3000)], []
+    for g in range(20):
+        passage = prose(rng, 20, vocabulary)
+        for c in range(2):
+            other = prose(rng, 200, vocabulary)
+            rows.append((2 * g + c, f"{passage} {other}" if g % 2 else f"{other} {passage}"))
+    assert {r.doc_id for r in passages.repeated(docs(spark, rows)).collect()} == {i for i, _ in rows}
+
+
 # --- 6 segmentations
 
 V = lattice.pieces(lattice.TOKENIZERS)
