@@ -243,6 +243,32 @@ def _subsets(rule: Banding, part: int):
     return run
 
 
+def _group_keys(rule: Banding):
+    """(key, content) of each set's shingles by groups. Similar sets differ in fewer shingles than there are groups, so
+    they agree in all of one group."""
+    most = rule.words - WIDTH + 1
+    sizes = [(a, b) for a in range(1, most + 1) for b in range(1, most + 1) if rule.needed(a, b) <= min(a, b)]
+    groups = 1 + max(a + b - 2 * rule.needed(a, b) for a, b in sizes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(2)
+            values = mix(lists.flatten().to_numpy().view(np.uint64))
+            row = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
+            sums = np.tile(keys(groups, 17), batch.num_rows)
+            np.add.at(sums, row * groups + (values % np.uint64(groups)).astype(np.int64), mix(values))
+            yield pa.RecordBatch.from_arrays([pa.array(mix(sums).view(np.int64)), pa.array(np.repeat(batch.column(0).to_numpy(), groups))], names=["key", "content"])
+
+    return run
+
+
+def _agreeing(sets: DataFrame, rule: Banding) -> DataFrame:
+    """The sets that agree with another one in all of a group; the others are similar to none."""
+    by_group = sets.mapInArrow(_group_keys(rule), "key long, content long")
+    several = by_group.groupBy("key").agg(F.min("content").alias("low"), F.max("content").alias("high")).filter("low < high").select("key")
+    return sets.join(by_group.join(several, "key", "left_semi").select("content").distinct(), "content", "left_semi")
+
+
 def _links(sets: DataFrame, rule: Banding, part: int) -> DataFrame:
     """Pairs (a, b) of similar contents, for the subsets of one part: all that share a subset are linked through the
     least of those of the other side."""
@@ -277,7 +303,7 @@ def repeated(docs: DataFrame, id: str = "doc_id", text: str = "text", rule: Band
     classes = stored(with_bands.drop("size", "bands"))
     forget(with_bands)
     wanted = stored(shared.groupBy("content").agg(F.min("smallest").alias("smallest")))
-    sets = stored(_sets(wanted, classes, rows, rule))
+    sets = stored(_agreeing(stored(_sets(wanted, classes, rows, rule)), rule))
     roots = components(reduce(DataFrame.unionByName, [stored(_links(sets, rule, part)) for part in range(SUBSET_PASSES)]))
     joined = classes.join(roots, F.col("content") == F.col("node"), "left").filter(F.col("node").isNotNull() | (F.col("low") < F.col("high")))
     several = stored(joined.select("content", F.coalesce("root", "content").alias("component"), "low", "high", "place"))

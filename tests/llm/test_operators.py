@@ -307,6 +307,25 @@ def test_passages_of_a_hot_bucket_are_all_compared(spark):
     assert all(any((a, b) in expected or (b, a) in expected or 1.8 * len(sets[a] & sets[b]) >= 0.8 * (len(sets[a]) + len(sets[b])) for b in g - {a}) for g in groups.values() for a in g)
 
 
+def test_similar_sets_agree_in_a_group():
+    rng, rule = random.Random(25), passages.Banding()
+    rows = [(k, 16, rng.sample(range(10_000), 16)) for k in range(0, 400, 2)]
+    for k, _, x in list(rows):
+        y = x[rng.randint(0, 2) :]
+        rows.append((k + 1, 16, y if len(y) < 15 else [*y[:-1], 20_000 + k]))
+    rows += [(1000 + k, 16, rng.sample(range(30_000, 90_000), 16)) for k in range(200)]
+    batch = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows]), pa.array([16] * len(rows), pa.int32()), pa.array([r[2] for r in rows], pa.list_(pa.int64()))], names=["content", "smallest", "shingles"])
+    holders = {}
+    for found in passages._group_keys(rule)([batch]):
+        for r in found.to_pylist():
+            holders.setdefault(r["key"], set()).add(r["content"])
+    agreeing = {(a, b) for h in holders.values() for a in h for b in h}
+    sets = {k: set(x) for k, _, x in rows}
+    similar = {(k, k + 1) for k in range(0, 400, 2) if len(sets[k] & sets[k + 1]) >= 0.8 * len(sets[k] | sets[k + 1])}
+    assert len(similar) > 100 and similar <= agreeing
+    assert len({a for a, b in agreeing if a != b and a >= 1000}) < 30  # of 200 unlike ones, those with an empty group
+
+
 def test_subsets_are_shared_by_similar_sets_only():
     rule = passages.Banding()
     rng = random.Random(17)
