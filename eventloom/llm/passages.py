@@ -194,13 +194,16 @@ def _worded(rule: Banding):
 
 
 def _sets(wanted: DataFrame, classes: DataFrame, docs: DataFrame, rule: Banding) -> DataFrame:
-    """(content, smallest, shingles) of the wanted contents. Each is read again from one text."""
+    """(content, smallest, shingles) of the wanted contents that agree with another one in all of a group; the others are
+    similar to none. Each is read again from one text."""
     # Contents that stand in rows without id only are not reported, and would be one group.
     sampled = classes.filter("sample is not null").select("content", "sample")
     asked = wanted.join(sampled, "content").groupBy(F.col("sample").alias("_sample")).agg(F.collect_list("content").alias("wanted"))
     texts = docs.join(asked, F.col("id") == F.col("_sample")).select("wanted", "text")
-    sets = stored(texts.mapInArrow(_worded(rule), "content long, shingles array<long>"))
-    return sets.dropDuplicates(["content"]).join(wanted, "content").select("content", "smallest", F.array_distinct("shingles").alias("shingles"))
+    sets = stored(texts.mapInArrow(_worded(rule), "content long, shingles array<long>").select("content", F.array_distinct("shingles").alias("shingles")))
+    found = stored(sets.join(_agreeing(sets, rule), "content", "left_semi").dropDuplicates(["content"]).join(wanted, "content").select("content", "smallest", "shingles"))
+    forget(sets)
+    return found
 
 
 def _subset_keys(hashes: np.ndarray, keep: int, salt: int) -> np.ndarray:
@@ -263,10 +266,10 @@ def _group_keys(rule: Banding):
 
 
 def _agreeing(sets: DataFrame, rule: Banding) -> DataFrame:
-    """The sets that agree with another one in all of a group; the others are similar to none."""
-    by_group = sets.mapInArrow(_group_keys(rule), "key long, content long")
+    """Contents of the sets that agree with another one in all of a group."""
+    by_group = sets.select("content", F.lit(0).alias("smallest"), "shingles").mapInArrow(_group_keys(rule), "key long, content long")
     several = by_group.groupBy("key").agg(F.min("content").alias("low"), F.max("content").alias("high")).filter("low < high").select("key")
-    return sets.join(by_group.join(several, "key", "left_semi").select("content").distinct(), "content", "left_semi")
+    return by_group.join(several, "key", "left_semi").select("content").distinct()
 
 
 def _links(sets: DataFrame, rule: Banding, part: int) -> DataFrame:
@@ -303,7 +306,7 @@ def repeated(docs: DataFrame, id: str = "doc_id", text: str = "text", rule: Band
     classes = stored(with_bands.drop("size", "bands"))
     forget(with_bands)
     wanted = stored(shared.groupBy("content").agg(F.min("smallest").alias("smallest")))
-    sets = stored(_agreeing(stored(_sets(wanted, classes, rows, rule)), rule))
+    sets = _sets(wanted, classes, rows, rule)
     roots = components(reduce(DataFrame.unionByName, [stored(_links(sets, rule, part)) for part in range(SUBSET_PASSES)]))
     joined = classes.join(roots, F.col("content") == F.col("node"), "left").filter(F.col("node").isNotNull() | (F.col("low") < F.col("high")))
     several = stored(joined.select("content", F.coalesce("root", "content").alias("component"), "low", "high", "place"))
