@@ -39,9 +39,11 @@ from eventloom.llm.words import Hasher, Texts, keys, mix, slices
 
 WIDTH = 5
 #: Buckets are gathered in so many passes over disjoint parts of them, which bounds the disk that one shuffle takes.
-PASSES = 4
-#: Subsets of shared shingles are gathered in so many.
-SUBSET_PASSES = 8
+PASSES = 2
+#: Texts are read again, groups of shingles and subsets of shared shingles gathered in so many.
+TEXT_PASSES = 2
+GROUP_PASSES = 3
+SUBSET_PASSES = 2
 #: Subsets of one size that a paragraph may leave, at most; a rule that asks for more is an error.
 SUBSETS = 10_000
 EQUAL, SMALL, LARGE = 0, 1, 2
@@ -168,42 +170,108 @@ def _banded(rule: Banding):
     return run
 
 
+def _group_keys(rule: Banding):
+    """(key, content) of each set's shingles by groups. Similar sets differ in fewer shingles than there are groups, so
+    they agree in all of one group."""
+    most = rule.words - WIDTH + 1
+    sizes = [(a, b) for a in range(1, most + 1) for b in range(1, most + 1) if rule.needed(a, b) <= min(a, b)]
+    groups = 1 + max(a + b - 2 * rule.needed(a, b) for a, b in sizes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(2)
+            values = mix(lists.flatten().to_numpy().view(np.uint64))
+            row = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
+            sums = np.tile(keys(groups, 17), batch.num_rows)
+            np.add.at(sums, row * groups + (values % np.uint64(groups)).astype(np.int64), mix(values))
+            yield pa.RecordBatch.from_arrays([pa.array(mix(sums).view(np.int64)), pa.array(np.repeat(batch.column(0).to_numpy(), groups))], names=["key", "content"])
+
+    return run
+
+
+def _pair_keys(sets: np.ndarray, once: np.ndarray, rule: Banding) -> np.ndarray:
+    """A key for each two groups of each set's shingles (the marked ones of a row). Similar sets of equal sizes differ in
+    two shingles less than there are groups, so they agree in all of two groups."""
+    sizes = [a for a in range(1, sets.shape[1] + 1) if rule.needed(a, a) <= a]
+    groups = 2 + max(2 * (a - rule.needed(a, a)) for a in sizes)
+    values, seeds = mix(sets), keys(groups, 19)
+    group, values = values % np.uint64(groups), np.where(once, mix(values), np.uint64(0))
+    sums = [mix(np.where(group == g, values, np.uint64(0)).sum(1, dtype=np.uint64) + seeds[g]) for g in range(groups)]
+    size = once.sum(1).astype(np.uint64)
+    return np.stack([mix(sums[g] + sums[h] + size) for g, h in combinations(range(groups), 2)], axis=1)
+
+
 def _worded(rule: Banding):
-    """Shingles of the wanted paragraphs of each text."""
+    """Shingles and group keys of the wanted paragraphs of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        width = rule.words - WIDTH + 1
         for batch in batches:
             for part in slices(batch, "text"):
                 texts = Texts(part.column(1))
                 hashes = Hasher(texts.data)(texts.start, texts.end)
                 at, row, content = _paragraphs(hashes, texts, rule)
                 lists = part.column(0)
-                wanted = lists.flatten().to_numpy().view(np.uint64)
+                asked = lists.flatten()
+                wanted, least = asked.field("content").to_numpy().view(np.uint64), asked.field("smallest").to_numpy()
                 of = np.repeat(np.arange(texts.n), np.diff(lists.offsets.to_numpy()))
                 # Equal contents in other rows, or twice in one, are not asked for.
-                take = np.isin(mix(content + row.astype(np.uint64)), mix(wanted + of.astype(np.uint64)))
-                at, content = at[take], content[take]
-                _, once = np.unique(content, return_index=True)
-                at, content = at[once], content[once]
-                each = _of_paragraphs(_shingles(hashes), at, rule)
-                offsets = pa.array(np.arange(len(at) + 1, dtype=np.int32) * width)
-                yield pa.RecordBatch.from_arrays([pa.array(content.view(np.int64)), pa.ListArray.from_arrays(offsets, pa.array(each.ravel().view(np.int64)))], names=["content", "shingles"])
+                names, found = mix(wanted + of.astype(np.uint64)), mix(content + row.astype(np.uint64))
+                _, first, place = np.intersect1d(found, names, return_indices=True)
+                _, once = np.unique(content[first], return_index=True)
+                at, content, smallest = at[first[once]], content[first[once]], least[place[once]]
+                each = np.sort(_of_paragraphs(_shingles(hashes), at, rule), axis=1)
+                once = np.ones(each.shape, bool)
+                once[:, 1:] = each[:, 1:] != each[:, :-1]
+                size = once.sum(1)
+                ends = pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32))
+                sets = pa.RecordBatch.from_arrays(
+                    [pa.array(content.view(np.int64)), pa.array(smallest, pa.int32()), pa.ListArray.from_arrays(ends, pa.array(each[once].view(np.int64)))], names=["content", "smallest", "shingles"]
+                )
+                pairs = _pair_keys(each, once, rule)
+                # Those that may have partners of other sizes agree with them in one group at least.
+                other = np.flatnonzero((size < each.shape[1]) | (smallest < size))
+                single = next(_group_keys(rule)([sets.take(pa.array(other))])).column(0).to_numpy().view(np.uint64).reshape(len(other), -1) if len(other) else pairs[:0]
+                counts = np.full(len(at), pairs.shape[1])
+                counts[other] += single.shape[1]
+                begin = np.cumsum(counts) - counts
+                flat = np.zeros(int(counts.sum()), np.uint64)
+                flat[begin[:, None] + np.arange(pairs.shape[1])] = pairs
+                flat[begin[other][:, None] + pairs.shape[1] + np.arange(single.shape[1])] = single
+                groups = pa.ListArray.from_arrays(pa.array(np.append(begin, len(flat)).astype(np.int32)), pa.array(flat.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([*sets.columns, groups], names=["content", "smallest", "shingles", "groups"])
 
     return run
 
 
+def _agreeing(sets: DataFrame, part: int) -> DataFrame:
+    """Contents of the sets that agree with another one in a group key, for the keys of one part."""
+    by_group = sets.select(F.explode("groups").alias("key"), "content").filter(F.pmod("key", F.lit(GROUP_PASSES)) == part)
+    several = by_group.groupBy("key").agg(F.min("content").alias("low"), F.max("content").alias("high")).filter("low < high").select("key")
+    return by_group.join(several, "key", "left_semi").select("content").distinct()
+
+
 def _sets(wanted: DataFrame, classes: DataFrame, docs: DataFrame, rule: Banding) -> DataFrame:
-    """(content, smallest, shingles) of the wanted contents that agree with another one in all of a group; the others are
+    """(content, smallest, shingles) of the wanted contents that agree with another one in a group key; the others are
     similar to none. Each is read again from one text."""
     # Contents that stand in rows without id only are not reported, and would be one group.
-    sampled = classes.filter("sample is not null").select("content", "sample")
-    asked = wanted.join(sampled, "content").groupBy(F.col("sample").alias("_sample")).agg(F.collect_list("content").alias("wanted"))
-    texts = docs.join(asked, F.col("id") == F.col("_sample")).select("wanted", "text")
-    sets = stored(texts.mapInArrow(_worded(rule), "content long, shingles array<long>").select("content", F.array_distinct("shingles").alias("shingles")))
-    found = stored(sets.join(_agreeing(sets, rule), "content", "left_semi").dropDuplicates(["content"]).join(wanted, "content").select("content", "smallest", "shingles"))
-    forget(sets)
-    return found
+    sampled = classes.filter("low is not null").select("content", "low")
+    asked = stored(wanted.join(sampled, "content").groupBy(F.col("low").alias("_sample")).agg(F.collect_list(F.struct("content", "smallest")).alias("wanted")))
+    forget(wanted)
+    parts = []
+    for part in range(TEXT_PASSES):
+        texts = docs.join(asked.filter(F.pmod(F.xxhash64("_sample"), F.lit(TEXT_PASSES)) == part), F.col("id") == F.col("_sample")).select("wanted", "text")
+        parts.append(stored(texts.mapInArrow(_worded(rule), "content long, smallest int, shingles array<long>, groups array<long>")))
+    forget(asked)
+    sets = reduce(DataFrame.unionByName, parts)
+    agreeing = [stored(_agreeing(sets.select("content", "groups"), part)) for part in range(GROUP_PASSES)]
+    similar = stored(reduce(DataFrame.unionByName, agreeing).distinct())
+    found = []
+    for part in range(GROUP_PASSES):
+        mine = F.pmod("content", F.lit(GROUP_PASSES)) == part
+        found.append(stored(sets.select("content", "smallest", "shingles").filter(mine).join(similar.filter(mine), "content", "left_semi").dropDuplicates(["content"])))
+    for table in (*parts, *agreeing, similar):
+        forget(table)
+    return reduce(DataFrame.unionByName, found)
 
 
 def _subset_keys(hashes: np.ndarray, keep: int, salt: int) -> np.ndarray:
@@ -246,32 +314,6 @@ def _subsets(rule: Banding, part: int):
     return run
 
 
-def _group_keys(rule: Banding):
-    """(key, content) of each set's shingles by groups. Similar sets differ in fewer shingles than there are groups, so
-    they agree in all of one group."""
-    most = rule.words - WIDTH + 1
-    sizes = [(a, b) for a in range(1, most + 1) for b in range(1, most + 1) if rule.needed(a, b) <= min(a, b)]
-    groups = 1 + max(a + b - 2 * rule.needed(a, b) for a, b in sizes)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column(2)
-            values = mix(lists.flatten().to_numpy().view(np.uint64))
-            row = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
-            sums = np.tile(keys(groups, 17), batch.num_rows)
-            np.add.at(sums, row * groups + (values % np.uint64(groups)).astype(np.int64), mix(values))
-            yield pa.RecordBatch.from_arrays([pa.array(mix(sums).view(np.int64)), pa.array(np.repeat(batch.column(0).to_numpy(), groups))], names=["key", "content"])
-
-    return run
-
-
-def _agreeing(sets: DataFrame, rule: Banding) -> DataFrame:
-    """Contents of the sets that agree with another one in all of a group."""
-    by_group = sets.select("content", F.lit(0).alias("smallest"), "shingles").mapInArrow(_group_keys(rule), "key long, content long")
-    several = by_group.groupBy("key").agg(F.min("content").alias("low"), F.max("content").alias("high")).filter("low < high").select("key")
-    return by_group.join(several, "key", "left_semi").select("content").distinct()
-
-
 def _links(sets: DataFrame, rule: Banding, part: int) -> DataFrame:
     """Pairs (a, b) of similar contents, for the subsets of one part: all that share a subset are linked through the
     least of those of the other side."""
@@ -297,21 +339,23 @@ def repeated(docs: DataFrame, id: str = "doc_id", text: str = "text", rule: Band
     rows = docs.select(F.col(f"`{id}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
     banded = stored(rows.mapInArrow(_banded(rule), "id long, start long, content long, size int, bands array<long>"))
     with_bands = stored(banded.groupBy("content").agg(
-        F.min("id").alias("low"), F.max("id").alias("high"), F.min("id").alias("sample"), F.first("size").alias("size"), F.first("bands").alias("bands"),
-        F.min(F.when(F.col("id").isNotNull(), F.struct("id", "start"))).alias("place"),
+        F.min("id").alias("low"), F.max("id").alias("high"), F.first("size").alias("size"), F.first("bands").alias("bands"),
+        F.min(F.when(F.col("id").isNotNull(), F.struct("id", "start")))["start"].alias("start"),
     ))
     found = stored(banded.drop("size", "bands"))
     forget(banded)
-    shared = reduce(DataFrame.unionByName, [stored(_shared(with_bands, part)) for part in range(PASSES)])
+    shared = [stored(_shared(with_bands, part)) for part in range(PASSES)]
     classes = stored(with_bands.drop("size", "bands"))
     forget(with_bands)
-    wanted = stored(shared.groupBy("content").agg(F.min("smallest").alias("smallest")))
+    wanted = stored(reduce(DataFrame.unionByName, shared).groupBy("content").agg(F.min("smallest").alias("smallest")))
+    for table in shared:
+        forget(table)
     sets = _sets(wanted, classes, rows, rule)
     roots = components(reduce(DataFrame.unionByName, [stored(_links(sets, rule, part)) for part in range(SUBSET_PASSES)]))
     joined = classes.join(roots, F.col("content") == F.col("node"), "left").filter(F.col("node").isNotNull() | (F.col("low") < F.col("high")))
-    several = stored(joined.select("content", F.coalesce("root", "content").alias("component"), "low", "high", "place"))
-    groups = several.groupBy("component").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.min("place").alias("place"))
-    groups = groups.filter("low < high").select("component", F.col("place").alias("kept"))
+    several = stored(joined.select("content", F.coalesce("root", "content").alias("component"), "low", "high", "start"))
+    groups = several.groupBy("component").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.min(F.when(F.col("low").isNotNull(), F.struct(F.col("low").alias("id"), "start"))).alias("kept"))
+    groups = groups.filter("low < high").select("component", "kept")
     members = stored(several.select("content", "component").join(groups, "component"))
     places = found.select("id", "start", "content").filter("id is not null").join(members, "content")
     return places.select(

@@ -326,6 +326,16 @@ def test_similar_sets_agree_in_a_group():
     assert len({a for a, b in agreeing if a != b and a >= 1000}) < 30  # of 200 unlike ones, those with an empty group
 
 
+def test_unlike_sets_rarely_agree_in_two_groups():
+    rng, rule = random.Random(26), passages.Banding()
+    rows = [rng.sample(range(10_000), 16) for _ in range(200)]
+    rows += [[*x[:-1], 20_000 + k] for k, x in enumerate(rows)]  # similar
+    rows += [[*x[:-5], *range(30_000 + 5 * k, 30_005 + 5 * k)] for k, x in enumerate(rows[:200])]  # a word apart
+    found = passages._pair_keys(np.array(rows, np.uint64), np.ones((len(rows), 16), bool), rule).tolist()
+    assert all(set(found[k]) & set(found[200 + k]) for k in range(200))
+    assert sum(bool(set(found[k]) & set(found[400 + k])) for k in range(200)) < 20
+
+
 def test_subsets_are_shared_by_similar_sets_only():
     rule = passages.Banding()
     rng = random.Random(17)
