@@ -2,9 +2,9 @@
 
 Every text is encoded by a byte-level BPE (A) and by a piece vocabulary with byte fallback (B). Byte offsets where tokens
 of both end are shared cuts. An interval of A's tokens is divided at a shared cut near its middle, which is looked for
-outwards from there by bisection in B's ends, and both halves are divided in turn; an interval without a shared cut is a
-group. All intervals of a batch are divided together; what an interval has tried in vain is kept for its parts, so each
-end is tried about once. A and B tokens whose byte ranges overlap are linked; for each pair of ids the documents that
+outwards from there, and both halves are divided in turn; an interval without a shared cut is a
+group. Each of A's ends is looked up once by bisection in B's ends, in order. All intervals of a batch are divided
+together; what an interval has tried in vain is kept for its parts, so each end is tried about once. A and B tokens whose byte ranges overlap are linked; for each pair of ids the documents that
 hold it linked are counted over the corpus.
 
 Neither tokeniser has a token across a single blank before a word, so the tokens of such chunks (a blank and what follows
@@ -49,6 +49,7 @@ REMEMBERED = 400_000
 #: left out: then a chunk is only longer).
 BEGINS_WORD = np.zeros(256, bool)
 BEGINS_WORD[[*range(0x21, 0x7F), *range(0xC3, 0xE1), *range(0xE4, 0xEF), *range(0xF0, 0xF5)]] = True
+FIRST_BYTES = frozenset(np.flatnonzero(BEGINS_WORD).tolist())
 WORD_BYTES = bytes([*np.flatnonzero(BEGINS_WORD).tolist(), *range(0x80, 0xC0)])
 
 COUNTS = ("n_a", "n_b", "n_groups", "n_links")
@@ -102,7 +103,7 @@ class Coders:
         whole = b"".join(chunks)
         text, stops = whole.decode(), np.cumsum(np.fromiter(map(len, chunks), np.int64, len(chunks)))
         out = []
-        for ids, table, length in ((self.a.encode(text, add_special_tokens=False).ids, self.bytes_a, self.length_a), (self.b.encode(text[1:]), self.bytes_b, self.length_b)):
+        for ids, table, length in ((self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.bytes_a, self.length_a), (self.b.encode(text[1:]), self.bytes_b, self.length_b)):
             if b"".join(map(table.__getitem__, ids)) != whole:
                 return None
             ids = np.array(ids, np.int64)
@@ -115,7 +116,7 @@ class Coders:
 
     def _singly(self, chunks: list[bytes]) -> tuple[list[tuple[np.ndarray, np.ndarray]], list[bool]]:
         texts = [c.decode() for c in chunks]
-        a = [e.ids for e in self.a.encode_batch(texts, add_special_tokens=False)]
+        a = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
         b = [self.b.encode(t[1:]) for t in texts]  # B adds a blank of its own
         of_a, of_b = self.bytes_a.__getitem__, self.bytes_b.__getitem__
         spelt = [b"".join(map(of_a, x)) == c == b"".join(map(of_b, y)) for c, x, y in zip(chunks, a, b)]
@@ -123,12 +124,20 @@ class Coders:
 
     def _remember(self, hashes: list[int], chunks: list[bytes]) -> None:
         """Tokens of both for chunks, each of which begins with a blank. Those that are a word and nothing else are
-        encoded together, as nothing in them touches the next blank."""
-        plain = [k for k, c in enumerate(chunks) if not c.translate(None, WORD_BYTES)[1:] and len(c) > 1 and BEGINS_WORD[c[1]]]
-        found = self._together([chunks[k] for k in plain]) if plain else None
-        rest = sorted(set(range(len(chunks))) - set(plain)) if found else range(len(chunks))
-        parts = [([hashes[k] for k in plain], found, [True] * len(plain))] if found else []
+        encoded together, as nothing in them touches the next blank; so are those with line ends, but apart, as one that
+        is not spelt has all of its kind encoded singly."""
+        left = [c.translate(None, WORD_BYTES) for c in chunks]
+        begins = [len(c) > 1 and c[1] in FIRST_BYTES for c in chunks]
+        plain = [k for k, x in enumerate(left) if x == b" " and begins[k]]
+        lines = [k for k, x in enumerate(left) if len(x) > 1 and begins[k] and not x[1:].strip(b"\n") and chunks[k][-1] != 0x20]
+        rest, parts = set(range(len(chunks))), []
+        for some in (plain, lines):
+            found = self._together([chunks[k] for k in some]) if some else None
+            if found:
+                parts.append(([hashes[k] for k in some], found, [True] * len(some)))
+                rest.difference_update(some)
         if rest:
+            rest = sorted(rest)
             parts.append(([hashes[k] for k in rest], *self._singly([chunks[k] for k in rest])))
         for keys, both, spelt in parts:
             self.at.update(zip(keys, range(len(self.at), len(self.at) + len(keys))))
@@ -171,6 +180,7 @@ def shared_cuts(ends_a: np.ndarray, ends_b: np.ndarray, first: np.ndarray, last:
     """Sorted indices of A's tokens that end groups, in the intervals of tokens first[k] to last[k] (exclusive), whose
     own ends are shared. Both arrays of ends increase."""
     found = [last - 1]
+    is_shared = ends_b[np.minimum(np.searchsorted(ends_b, ends_a), len(ends_b) - 1)] == ends_a
     low, high = first, last - 1  # candidates: low to high, exclusive
     zone_low = zone_high = (low + high) // 2  # what lies between has been tried and holds no cut
     width = np.ones(len(low), np.int64)
@@ -185,7 +195,7 @@ def shared_cuts(ends_a: np.ndarray, ends_b: np.ndarray, first: np.ndarray, last:
         def shared(start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             counts = stop - start
             at = ranges(start, counts)
-            hit = ends_b[np.searchsorted(ends_b, ends_a[at])] == ends_a[at]
+            hit = is_shared[at]
             return np.repeat(np.arange(n), counts)[hit], at[hit]
 
         left, right = np.full(n, -1), np.full(n, np.iinfo(np.int64).max)
