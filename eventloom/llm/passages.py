@@ -9,14 +9,16 @@ paragraph is the set of its 5-word shingles.
 Paragraphs that share a bucket of some band (`rows` MinHash values) with another one are joined exactly, whatever else
 their buckets hold: two sets of a and b shingles are similar enough if and only if they have some subset of `needed`
 shingles in common, so each set leaves the hashes of its subsets of that size, and those who meet at one are linked with
-its least member (a minimum per key, aggregated before its shuffle) without further tests. A paragraph has few shingles
-and may miss few of them, so its subsets are few (16 as a rule); those for partners of fewer shingles are made only where
-a bucket holds such. Links make components; of a component's places all but the first are removals. `bands_for` gives
+one of them without further tests. A paragraph has few shingles and may miss few of them, so its subsets are few (16 as a
+rule); those for partners of fewer shingles are made only where a bucket holds such and, dealt out to groups in two ways,
+its shingles agree in a group with some set of that size. What meets at a key, a bucket's, a group's or a subset's, is
+shuffled once, sorted by key and goes by row after row, so a key may have any number of rows; they go by in one task.
+Links make components; of a component's places all but the first are removals. `bands_for` gives
 the bands a recall needs. Paragraphs of equal words are one node from the start, however many copies there are.
 
 Words are compared as they stand, by 64-bit hashes. Edge cases: texts of fewer than `words` words have no paragraphs;
-null texts none either; rows without id are not reported, and what only they hold takes no part; equal ids count as one document. A component is reported if
-its paragraphs stand in two documents at least.
+null texts none either; rows without id are not reported, and what only they hold takes no part; equal ids count as one
+document. A component is reported if its paragraphs stand in two documents at least. Keys of subsets have 63 bits.
 """
 
 from __future__ import annotations
@@ -29,24 +31,29 @@ from math import ceil, comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.llm.components import components
 from eventloom.llm.fertility import ranges
 from eventloom.llm.stored import forget, stored
-from eventloom.llm.words import Hasher, Texts, keys, mix, slices
+from eventloom.llm.words import Hasher, Texts, keys, mix, release, slices
 
 WIDTH = 5
-#: Buckets are gathered in so many passes over disjoint parts of them, which bounds the disk that one shuffle takes.
-PASSES = 2
-#: Texts are read again, groups of shingles and subsets of shared shingles gathered in so many.
+#: Texts are read again, groups of shingles and subsets of shared shingles gathered in so many passes over disjoint parts of
+#: them, which bounds the disk that one shuffle takes; buckets in one pass per band.
 TEXT_PASSES = 2
 GROUP_PASSES = 3
+PAIRED = [f"paired{part}" for part in range(GROUP_PASSES)]
+SINGLE = ["single0", "single1"]
 SUBSET_PASSES = 2
 #: Subsets of one size that a paragraph may leave, at most; a rule that asks for more is an error.
 SUBSETS = 10_000
+#: Subsets that a task makes at a time.
+AT_ONCE = 50_000
 EQUAL, SMALL, LARGE = 0, 1, 2
+#: The last bits of the key of a bucket or a group hold the number of shingles, so that a key's rows come smallest first.
+SIZE_BITS = 7
 
 
 def bands_for(similarity: float, recall: float, rows: int) -> int:
@@ -166,21 +173,23 @@ def _banded(rule: Banding):
                     [part.column(0).take(pa.array(row)), pa.array(at - texts.first[row]), pa.array(content.view(np.int64)), pa.array(size, pa.int32()), pa.ListArray.from_arrays(offsets, pa.array(bands.ravel().view(np.int64)))],
                     names=["id", "start", "content", "size", "bands"],
                 )
+        release()
 
     return run
 
 
-def _group_keys(rule: Banding):
+def _group_keys(rule: Banding, dealt: int = 0):
     """(key, content) of each set's shingles by groups. Similar sets differ in fewer shingles than there are groups, so
-    they agree in all of one group."""
+    they agree in all of one group. `dealt` is another way to deal shingles to groups for each number."""
     most = rule.words - WIDTH + 1
     sizes = [(a, b) for a in range(1, most + 1) for b in range(1, most + 1) if rule.needed(a, b) <= min(a, b)]
     groups = 1 + max(a + b - 2 * rule.needed(a, b) for a, b in sizes)
+    salt = keys(dealt + 1, 23)[-1] if dealt else np.uint64(0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column(2)
-            values = mix(lists.flatten().to_numpy().view(np.uint64))
+            values = mix(lists.flatten().to_numpy().view(np.uint64) ^ salt)
             row = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
             sums = np.tile(keys(groups, 17), batch.num_rows)
             np.add.at(sums, row * groups + (values % np.uint64(groups)).astype(np.int64), mix(values))
@@ -201,8 +210,60 @@ def _pair_keys(sets: np.ndarray, once: np.ndarray, rule: Banding) -> np.ndarray:
     return np.stack([mix(sums[g] + sums[h] + size) for g, h in combinations(range(groups), 2)], axis=1)
 
 
+def _sized(size):
+    """The last bits of a key, a column or an array of numbers of shingles."""
+    most = (1 << SIZE_BITS) - 1
+    return np.minimum(size, most).astype(np.uint64) if isinstance(size, np.ndarray) else F.least(size, F.lit(most)).cast("long")
+
+
+def _bit(size):
+    """The bit of a number of shingles in a set of such numbers; all from 62 on have one."""
+    return np.int64(1) << np.minimum(size, 62)
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows in the order of their sized keys (key, content, more columns), those whose key another content has as well:
+    content, smallest, sizes, more columns. smallest is the least number of shingles at the key, sizes has the numbers
+    up to the row's own, at least, as bits. A key with very many rows goes by batch after batch; kept of it are four
+    numbers and, until a second content comes, one row."""
+    low = high = smallest = sizes = key = held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keyed, content = (batch.column(k).to_numpy() for k in (0, 1))
+        size, own = keyed & ((1 << SIZE_BITS) - 1), keyed >> SIZE_BITS
+        begin = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+        run = np.repeat(np.arange(len(begin)), np.diff(begin, append=len(own)))
+        lows, highs, bits, least = np.minimum.reduceat(content, begin), np.maximum.reduceat(content, begin), np.bitwise_or.reduceat(_bit(size), begin), size[begin]
+        goes_on = key is not None and own[0] == key
+        if goes_on:
+            lows[0], highs[0], bits[0], least[0] = min(lows[0], low), max(highs[0], high), bits[0] | sizes, smallest
+
+        def found(rows: pa.RecordBatch, least: np.ndarray, bits: np.ndarray) -> pa.RecordBatch:
+            arrays = [rows.column(1), pa.array(least, pa.int32()), pa.array(bits), *rows.columns[2:]]
+            return pa.RecordBatch.from_arrays(arrays, names=["content", "smallest", "sizes", *rows.schema.names[2:]])
+
+        several = lows < highs
+        if goes_on and held is not None and several[0]:
+            yield found(held, least[:1], bits[:1])
+        at = np.flatnonzero(several[run])
+        if len(at):
+            yield found(batch.take(pa.array(at)), least[run[at]], bits[run[at]])
+        if several[-1]:
+            held = None
+        elif not (goes_on and len(begin) == 1):
+            held = batch.take(pa.array(begin[-1:]))
+        low, high, smallest, sizes, key = lows[-1], highs[-1], least[-1], bits[-1], own[-1]
+
+
+def _meeting(rows: DataFrame, more: str = "") -> DataFrame:
+    """_met of rows with columns key (sized), content and `more`, which are shuffled once."""
+    by_key = rows.repartition(F.shiftright("key", SIZE_BITS)).sortWithinPartitions("key")
+    return by_key.mapInArrow(_met, "content long, smallest int, sizes long" + more)
+
+
 def _worded(rule: Banding):
-    """Shingles and group keys of the wanted paragraphs of each text."""
+    """Shingles and group keys of the wanted paragraphs of each text; the keys in a list for each pass over them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -228,48 +289,94 @@ def _worded(rule: Banding):
                     [pa.array(content.view(np.int64)), pa.array(smallest, pa.int32()), pa.ListArray.from_arrays(ends, pa.array(each[once].view(np.int64)))], names=["content", "smallest", "shingles"]
                 )
                 pairs = _pair_keys(each, once, rule)
-                # Those that may have partners of other sizes agree with them in one group at least.
+                paired = [_lists(pairs[:, part::GROUP_PASSES], np.arange(len(at)), size) for part in range(GROUP_PASSES)]
+                # Those that may have partners of other sizes agree with them in one group at least, however dealt.
                 other = np.flatnonzero((size < each.shape[1]) | (smallest < size))
-                single = next(_group_keys(rule)([sets.take(pa.array(other))])).column(0).to_numpy().view(np.uint64).reshape(len(other), -1) if len(other) else pairs[:0]
-                counts = np.full(len(at), pairs.shape[1])
-                counts[other] += single.shape[1]
-                begin = np.cumsum(counts) - counts
-                flat = np.zeros(int(counts.sum()), np.uint64)
-                flat[begin[:, None] + np.arange(pairs.shape[1])] = pairs
-                flat[begin[other][:, None] + pairs.shape[1] + np.arange(single.shape[1])] = single
-                groups = pa.ListArray.from_arrays(pa.array(np.append(begin, len(flat)).astype(np.int32)), pa.array(flat.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([*sets.columns, groups], names=["content", "smallest", "shingles", "groups"])
+                alone = []
+                for dealt in range(len(SINGLE)):
+                    found = [b.column(0).to_numpy().view(np.uint64) for b in _group_keys(rule, dealt)([sets.take(pa.array(other))])] if len(other) else [np.zeros(0, np.uint64)]
+                    alone.append(_lists(found[0].reshape(len(other), -1) if len(other) else pairs[:0], other, size))
+                packed = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer((sets.column(2).offsets.to_numpy() * 8).astype(np.int32)), pa.py_buffer(each[once].tobytes())])
+                yield pa.RecordBatch.from_arrays([*sets.columns[:2], packed, *paired, *alone], names=["content", "smallest", "shingles", *PAIRED, *SINGLE])
+        release()
 
     return run
 
 
-def _agreeing(sets: DataFrame, part: int) -> DataFrame:
-    """Contents of the sets that agree with another one in a group key, for the keys of one part."""
-    by_group = sets.select(F.explode("groups").alias("key"), "content").filter(F.pmod("key", F.lit(GROUP_PASSES)) == part)
-    several = by_group.groupBy("key").agg(F.min("content").alias("low"), F.max("content").alias("high")).filter("low < high").select("key")
-    return by_group.join(several, "key", "left_semi").select("content").distinct()
+def _lists(values: np.ndarray, rows: np.ndarray, size: np.ndarray) -> pa.ListArray:
+    """A list of sized keys per set: a row of values for the given ones, none for the others."""
+    counts = np.zeros(len(size), np.int64)
+    counts[rows] = values.shape[1]
+    sized = values & ~np.uint64((1 << SIZE_BITS) - 1) | _sized(size[rows])[:, None]
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pa.array(sized.ravel().view(np.int64)))
+
+
+def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per text, with the list of what is asked for of it, of rows in the order of the text's id."""
+    rest = None
+
+    def lists(rows: pa.RecordBatch, ids: np.ndarray, begin: np.ndarray) -> pa.RecordBatch:
+        structs = pa.StructArray.from_arrays(rows.columns[1:], names=rows.schema.names[1:])
+        ends = pa.array(np.append(begin, rows.num_rows).astype(np.int32))
+        return pa.RecordBatch.from_arrays([pa.array(ids[begin]), pa.ListArray.from_arrays(ends, structs)], names=["_sample", "wanted"])
+
+    for batch in batches:
+        rows = pa.concat_batches([rest, batch]) if rest is not None else batch
+        if not rows.num_rows:
+            continue
+        ids = rows.column(0).to_numpy()
+        begin = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+        last = int(begin[-1])
+        if last:
+            yield lists(rows.slice(0, last), ids, begin[:-1])
+        rest = rows.slice(last)
+    if rest is not None:
+        yield lists(rest, rest.column(0).to_numpy(), np.zeros(1, np.int64))
+
+
+def _agreeing(sets: DataFrame) -> DataFrame:
+    """(content, paired, single0, single1) of the sets that agree with another one in a key of two groups (paired), or in a
+    single group in both ways to deal shingles out: then the numbers of shingles, as bits, of those it agrees with."""
+    tables = []
+    for lists in (*PAIRED, *SINGLE):
+        met = _meeting(sets.select(F.explode(lists).alias("key"), "content")).groupBy("content").agg(F.bit_or("sizes").alias("sizes"))
+        flags = [(F.col("sizes") if lists == c else F.lit(None).cast("long")).alias(c) for c in SINGLE]
+        tables.append(stored(met.select("content", F.lit(lists in PAIRED).alias("paired"), *flags)))
+    together = reduce(DataFrame.unionByName, tables).groupBy("content").agg(F.max("paired").alias("paired"), *[F.bit_or(c).alias(c) for c in SINGLE])
+    agreeing = stored(together.filter("paired or (single0 is not null and single1 is not null)"))
+    for table in tables:
+        forget(table)
+    return agreeing
+
+
+def _partners() -> Column:
+    """The numbers of shingles, as bits, that partners of an agreeing set may have: its own if it is paired; of those
+    with fewer, the ones it agrees with however its shingles are dealt out; then any with more."""
+    own = F.expr("shiftleft(1L, least(octet_length(shingles) div 8, 62))")
+    fewer = F.col("single0").bitwiseAND(F.col("single1")).bitwiseAND(own - 1)
+    alone = F.when(F.col("single0").isNotNull() & F.col("single1").isNotNull(), fewer.bitwiseOR(-own)).otherwise(F.lit(0))
+    return alone.bitwiseOR(F.when(F.col("paired"), own).otherwise(F.lit(0)))
 
 
-def _sets(wanted: DataFrame, classes: DataFrame, docs: DataFrame, rule: Banding) -> DataFrame:
-    """(content, smallest, shingles) of the wanted contents that agree with another one in a group key; the others are
-    similar to none. Each is read again from one text."""
+def _sets(wanted: DataFrame, docs: DataFrame, rule: Banding) -> DataFrame:
+    """(content, smallest, shingles, partners) of the wanted contents that agree with others in groups of shingles; what
+    does not is similar to none. Each is read again from one text."""
     # Contents that stand in rows without id only are not reported, and would be one group.
-    sampled = classes.filter("low is not null").select("content", "low")
-    asked = stored(wanted.join(sampled, "content").groupBy(F.col("low").alias("_sample")).agg(F.collect_list(F.struct("content", "smallest")).alias("wanted")))
-    forget(wanted)
+    by_text = wanted.filter("low is not null").select(F.col("low").alias("_sample"), "content", "smallest").repartition("_sample").sortWithinPartitions("_sample")
+    asked = stored(by_text.mapInArrow(_listed, "_sample long, wanted array<struct<content: long, smallest: int>>"))
     parts = []
     for part in range(TEXT_PASSES):
         texts = docs.join(asked.filter(F.pmod(F.xxhash64("_sample"), F.lit(TEXT_PASSES)) == part), F.col("id") == F.col("_sample")).select("wanted", "text")
-        parts.append(stored(texts.mapInArrow(_worded(rule), "content long, smallest int, shingles array<long>, groups array<long>")))
+        parts.append(stored(texts.mapInArrow(_worded(rule), "content long, smallest int, shingles binary" + "".join(f", {g} array<long>" for g in (*PAIRED, *SINGLE)))))
     forget(asked)
     sets = reduce(DataFrame.unionByName, parts)
-    agreeing = [stored(_agreeing(sets.select("content", "groups"), part)) for part in range(GROUP_PASSES)]
-    similar = stored(reduce(DataFrame.unionByName, agreeing).distinct())
+    agreeing = _agreeing(sets)
     found = []
     for part in range(GROUP_PASSES):
         mine = F.pmod("content", F.lit(GROUP_PASSES)) == part
-        found.append(stored(sets.select("content", "smallest", "shingles").filter(mine).join(similar.filter(mine), "content", "left_semi").dropDuplicates(["content"])))
-    for table in (*parts, *agreeing, similar):
+        joined = sets.select("content", "smallest", "shingles").filter(mine).join(agreeing.filter(mine), "content")
+        found.append(stored(joined.select("content", "smallest", "shingles", _partners().alias("partners")).dropDuplicates(["content"])))
+    for table in (*parts, agreeing):
         forget(table)
     return reduce(DataFrame.unionByName, found)
 
@@ -281,84 +388,122 @@ def _subset_keys(hashes: np.ndarray, keep: int, salt: int) -> np.ndarray:
     return mix(sums + keys(1, salt))
 
 
+def _of_bytes(run):
+    """run, for batches whose third column has lists of 64-bit numbers as bytes."""
+
+    def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            packed = batch.column(2)
+            offsets = np.frombuffer(packed.buffers()[1], np.int32)[packed.offset : packed.offset + len(packed) + 1]
+            numbers = np.frombuffer(packed.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].view(np.int64) if len(packed) else np.zeros(0, np.int64)
+            column = pa.ListArray.from_arrays(pa.array((offsets - offsets[0]) // 8), pa.array(numbers))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], column, *batch.columns[3:]], names=batch.schema.names)
+
+    return lambda batches: run(lists(batches))
+
+
 def _subsets(rule: Banding, part: int):
     """(key, content, side) of the subsets that a linked set must share: side is EQUAL for partners of as many shingles,
-    SMALL for partners of more and LARGE for partners of fewer."""
+    SMALL for partners of more and LARGE for partners of fewer. A column of partners says which numbers of shingles these
+    may have."""
     most = rule.words - WIDTH + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, 1000):
-                batch = whole.slice(at, 1000)
-                contents, smallest = (batch.column(k).to_numpy() for k in (0, 1))
-                lists = batch.column(2)
-                sizes = np.diff(lists.offsets.to_numpy())
-                values = mix(lists.flatten().to_numpy().view(np.uint64))
-                first = np.cumsum(sizes) - sizes
-                for a in np.unique(sizes).tolist():
-                    for b in range(1, most + 1):
-                        keep = rule.needed(a, b)
-                        rows = np.flatnonzero((sizes == a) & (smallest <= b))
-                        if keep > min(a, b) or not len(rows):
-                            continue
-                        of_rows = values[first[rows][:, None] + np.arange(a)]
-                        found = _subset_keys(of_rows, keep, 1000 + min(a, b) * (most + 1) + max(a, b))
-                        content = np.repeat(contents[rows], found.shape[1])
+        for batch in batches:
+            contents, smallest = (batch.column(k).to_numpy() for k in (0, 1))
+            partners = batch.column(3).to_numpy() if batch.num_columns > 3 else np.full(batch.num_rows, -1)
+            lists = batch.column(2)
+            sizes = np.diff(lists.offsets.to_numpy())
+            values = mix(lists.flatten().to_numpy().view(np.uint64))
+            first = np.cumsum(sizes) - sizes
+            made, count = [], 0
+            for a in np.unique(sizes).tolist():
+                of_size = np.flatnonzero(sizes == a)
+                for b in range(1, most + 1):
+                    keep = rule.needed(a, b)
+                    if keep > min(a, b):
+                        continue
+                    rows = of_size[(smallest[of_size] <= b) & (partners[of_size] & _bit(b) != 0)]
+                    side = EQUAL if a == b else SMALL if a < b else LARGE
+                    step = max(AT_ONCE // comb(a, keep), 1)
+                    for some in (rows[at : at + step] for at in range(0, len(rows), step)):
+                        found = _subset_keys(values[first[some][:, None] + np.arange(a)], keep, 1000 + min(a, b) * (most + 1) + max(a, b))
+                        content = np.repeat(contents[some], found.shape[1])
                         found = found.ravel()
-                        mine = found % np.uint64(SUBSET_PASSES) == part
-                        side = EQUAL if a == b else SMALL if a < b else LARGE
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(found[mine].view(np.int64)), pa.array(content[mine]), pa.array(np.full(int(mine.sum()), side, np.int32))], names=["key", "content", "side"]
-                        )
+                        mine = np.flatnonzero(found % np.uint64(SUBSET_PASSES) == part)
+                        made.append((found[mine].view(np.int64), content[mine], np.full(len(mine), side, np.int32)))
+                        count += len(mine)
+                        if count >= AT_ONCE:
+                            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*made)], names=["key", "content", "side"])
+                            made, count = [], 0
+            if made:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*made)], names=["key", "content", "side"])
+        release()
 
     return run
 
 
+def _starred(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links (a, b) of rows (key, content) in the order of the key, whose last bit LARGE rows have set: of the rows whose key
+    agrees in the other bits with one that is not LARGE. Two SMALL ones are similar, too: they share as many shingles as
+    sets of their own size need, at least."""
+    key = centre = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keyed, content = (batch.column(k).to_numpy() for k in (0, 1))
+        large, own = keyed & 1 == 1, keyed >> 1
+        begin = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+        least = np.minimum.reduceat(np.where(large, np.iinfo(np.int64).max, content), begin)
+        has = ~large[begin]
+        if key is not None and own[0] == key and centre is not None:
+            least[0], has[0] = centre, True
+        run = np.repeat(np.arange(len(begin)), np.diff(begin, append=len(own)))
+        at = np.flatnonzero(has[run] & (least[run] != content))
+        yield pa.RecordBatch.from_arrays([pa.array(least[run[at]]), pa.array(content[at])], names=["a", "b"])
+        key, centre = own[-1], least[-1] if has[-1] else None
+
+
 def _links(sets: DataFrame, rule: Banding, part: int) -> DataFrame:
-    """Pairs (a, b) of similar contents, for the subsets of one part: all that share a subset are linked through the
-    least of those of the other side."""
-    subsets = sets.mapInArrow(_subsets(rule, part), "key long, content long, side int")
-    least = subsets.groupBy("key").agg(
-        F.min(F.when(F.col("side") != LARGE, F.col("content"))).alias("small"), F.min(F.when(F.col("side") != SMALL, F.col("content"))).alias("large"), F.max("content").alias("last")
-    ).filter(F.least("small", "large") < F.col("last")).filter("small is not null and large is not null").drop("last")
-    other = F.when(F.col("side") == SMALL, F.col("large")).otherwise(F.col("small"))
-    return subsets.join(least, "key").select(other.alias("a"), F.col("content").alias("b")).filter("a != b").distinct()
+    """Pairs (a, b) of similar contents, for the subsets of one part: those that share a subset are linked through one."""
+    subsets = sets.select("content", "smallest", "shingles", "partners").mapInArrow(_of_bytes(_subsets(rule, part)), "key long, content long, side int")
+    key = F.col("key").bitwiseAND(F.lit(-2)).bitwiseOR((F.col("side") == LARGE).cast("long"))
+    by_key = subsets.select(key.alias("key"), "content").repartition(F.shiftright("key", 1)).sortWithinPartitions("key")
+    return by_key.mapInArrow(_starred, "a long, b long").distinct()
 
 
-def _shared(classes: DataFrame, part: int) -> DataFrame:
-    """(content, smallest) of the contents that have a bucket with others, for the buckets of one part; smallest is the
-    least number of shingles in it."""
-    buckets = classes.select(F.explode("bands").alias("key"), "content", "size").filter(F.pmod("key", F.lit(PASSES)) == part)
-    several = buckets.groupBy("key").agg(F.min("content").alias("low"), F.max("content").alias("high"), F.min("size").alias("smallest"))
-    return buckets.join(several.filter("low < high").select("key", "smallest"), "key").select("content", "smallest")
+def _shared(classes: DataFrame, band: int) -> DataFrame:
+    """(content, smallest, low) of the contents that have a bucket of the band with others; smallest is the least number
+    of shingles in it."""
+    key = F.col(f"band{band}").bitwiseAND(F.lit(-1 << SIZE_BITS)).bitwiseOR(_sized(F.col("size")))
+    return _meeting(classes.select(key.alias("key"), "content", "low"), ", low long").select("content", "smallest", "low")
 
 
 def repeated(docs: DataFrame, id: str = "doc_id", text: str = "text", rule: Banding = Banding()) -> DataFrame:
     """A row per place of a repeated paragraph: id, begin and end (words of the text), component, first (whether it is
     the component's first place, by id and begin, which stays; the others are removals)."""
     rows = docs.select(F.col(f"`{id}`").cast("long").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
-    banded = stored(rows.mapInArrow(_banded(rule), "id long, start long, content long, size int, bands array<long>"))
-    with_bands = stored(banded.groupBy("content").agg(
-        F.min("id").alias("low"), F.max("id").alias("high"), F.first("size").alias("size"), F.first("bands").alias("bands"),
-        F.min(F.when(F.col("id").isNotNull(), F.struct("id", "start")))["start"].alias("start"),
-    ))
-    found = stored(banded.drop("size", "bands"))
+    bands = [f"band{k}" for k in range(rule.bands)]
+    paragraphs = rows.mapInArrow(_banded(rule), "id long, start long, content long, size int, bands array<long>")
+    banded = stored(paragraphs.select("id", "start", "content", "size", *[F.col("bands")[k].alias(b) for k, b in enumerate(bands)]))
+    with_bands = stored(banded.groupBy("content").agg(F.min("id").alias("low"), F.max("id").alias("high"), *[F.min(c).alias(c) for c in ("size", *bands)]))
+    found = stored(banded.select("id", "start", "content"))
     forget(banded)
-    shared = [stored(_shared(with_bands, part)) for part in range(PASSES)]
-    classes = stored(with_bands.drop("size", "bands"))
+    shared = [stored(_shared(with_bands, band)) for band in range(rule.bands)]
+    classes = stored(with_bands.select("content", "low", "high"))
     forget(with_bands)
-    wanted = stored(reduce(DataFrame.unionByName, shared).groupBy("content").agg(F.min("smallest").alias("smallest")))
+    sets = _sets(reduce(DataFrame.unionByName, shared).groupBy("content").agg(F.min("smallest").alias("smallest"), F.min("low").alias("low")), rows, rule)
     for table in shared:
         forget(table)
-    sets = _sets(wanted, classes, rows, rule)
     roots = components(reduce(DataFrame.unionByName, [stored(_links(sets, rule, part)) for part in range(SUBSET_PASSES)]))
     joined = classes.join(roots, F.col("content") == F.col("node"), "left").filter(F.col("node").isNotNull() | (F.col("low") < F.col("high")))
-    several = stored(joined.select("content", F.coalesce("root", "content").alias("component"), "low", "high", "start"))
-    groups = several.groupBy("component").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.min(F.when(F.col("low").isNotNull(), F.struct(F.col("low").alias("id"), "start"))).alias("kept"))
-    groups = groups.filter("low < high").select("component", "kept")
+    several = stored(joined.select("content", F.coalesce("root", "content").alias("component"), "low", "high"))
+    groups = several.groupBy("component").agg(F.min("low").alias("kept"), F.max("high").alias("high")).filter("kept < high").select("component", "kept")
     members = stored(several.select("content", "component").join(groups, "component"))
-    places = found.select("id", "start", "content").filter("id is not null").join(members, "content")
-    return places.select(
-        F.col("id").alias(id), F.col("start").alias("begin"), (F.col("start") + rule.words).alias("end"), "component",
-        F.struct("id", "start").eqNullSafe(F.col("kept")).alias("first"),
-    ).distinct()
+    places = stored(found.filter("id is not null").join(members, "content").select("id", "start", "component", "kept").distinct())
+    # A component's first place is in the document of its least id; only that one's places meet by component.
+    in_kept = places.filter("id = kept")
+    firsts = in_kept.groupBy("component").agg(F.min("start").alias("at"))
+    marked = in_kept.join(firsts, "component").withColumn("first", F.col("start") == F.col("at")).drop("at")
+    marked = marked.unionByName(places.filter("id != kept").withColumn("first", F.lit(False)))
+    return marked.select(F.col("id").alias(id), F.col("start").alias("begin"), (F.col("start") + rule.words).alias("end"), "component", "first")
